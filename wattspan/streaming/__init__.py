@@ -1,0 +1,4 @@
+"""Nothing here yet: the workload is batch only.
+
+Its one incremental behaviour, filling missing day partitions, lives in `sources.landing`.
+"""
