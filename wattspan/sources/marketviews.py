@@ -34,6 +34,11 @@ HISTORY_CONFIG: Config = DEFAULT.with_market(
     timezone="UTC", settlement_points=("ALL", "A", "N", "R"), regimes=SINGLE_REGIME
 ).with_model(horizon_hours=4, window_days=365, recalibrate_every_days=28, min_train_days=365)
 
+# Whole stage runs over the event month: one pooled hub, short history, retrained every two days.
+RUN_CONFIG: Config = DEFAULT.with_market(settlement_points=("ALL",), regimes=SINGLE_REGIME).with_model(
+    window_days=10, recalibrate_every_days=2, min_train_days=10
+)
+
 BATTERY: Battery = DEFAULT.battery
 
 
@@ -109,11 +114,23 @@ def _block(ts: str, key: str):
     return F.col(ts) + F.make_dt_interval(hours=(F.col(key) % 4) * 6)
 
 
-def history_prices(spark: SparkSession, sf_dir: str, config: Config = HISTORY_CONFIG) -> DataFrame:
+def pooled_quarter_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter-hourly mean price over all events as point 'ALL'."""
+    quarter = floor_minutes(F.col("ts"), 15).alias(S.INTERVAL)
+    rows = _table(spark, sf_dir, "events").select(quarter, _cents("value").alias("cents"))
+    pooled = rows.groupBy(S.INTERVAL).agg((F.sum("cents") / F.count("*") / 100 - 20).alias(S.PRICE))
+    return pooled.withColumn(S.POINT, F.lit("ALL"))
+
+
+def history_prices(
+    spark: SparkSession, sf_dir: str, config: Config = HISTORY_CONFIG, only_status: str | None = None
+) -> DataFrame:
     """Block prices per return flag and pooled as 'ALL', in the price contract."""
+    items = _table(spark, sf_dir, "lineitem")
+    if only_status is not None:
+        items = items.where(F.col("l_linestatus") == only_status)
     blocks = (
-        _table(spark, sf_dir, "lineitem")
-        .select(
+        items.select(
             _block("l_shipdate", "l_orderkey").alias(S.INTERVAL),
             F.explode(F.array(F.lit("ALL"), F.col("l_returnflag"))).alias(S.POINT),
             _cents("l_extendedprice").alias("cents"),
@@ -139,3 +156,24 @@ def history_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(_block("l_shipdate", "l_orderkey").alias(S.INTERVAL))
         .agg((F.sum(_cents("l_discount")) / F.count("*")).alias(S.TEMP))
     )
+
+
+def run_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four raw feeds with one row per event, many copies per interval, for whole stage runs."""
+    events = _table(spark, sf_dir, "events")
+    hour, value, arrival = floor_minutes(F.col("ts"), 60), F.col("value"), F.col("event_id").alias(ARRIVAL)
+
+    def prices(minutes: int) -> DataFrame:
+        interval = floor_minutes(F.col("ts"), minutes).alias(S.INTERVAL)
+        return events.select(interval, F.lit("ALL").alias("location"), (value - 20).alias("spp"), arrival)
+
+    published = hour - F.make_dt_interval(hours=F.col("event_id") % 48 + 24)
+    return {
+        "da": prices(60),
+        "rt": prices(15),
+        "demand": events.select(hour.alias(S.INTERVAL), value.alias("system_total"), arrival),
+        "weather": events.select(
+            hour.alias(S.INTERVAL), published.alias("publish_time_utc"), value.alias("z1"),
+            (value + 10).alias("z2"), arrival,
+        ),
+    }
