@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..config import Model
-from ..session import materialise
+from ..session import materialise, scratch_path
 from .baselines import as_forecast
 from .folds import DAY_IDX, first_origin, with_folds
 
@@ -35,31 +34,34 @@ def design(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def boosted(
-    matrix: DataFrame, model: Model, rounds: int = 20, depth: int = 5, concurrent_fits: int = 4
+    matrix: DataFrame, model: Model, rounds: int = 20, depth: int = 5, concurrent_fits: int = 8
 ) -> DataFrame:
     """Fit each fold on the days before it and predict its test block.
 
     The trees of a fold grow as distributed jobs over all its rows, all points pooled; several
     folds are submitted at once so that small ones do not leave the cluster idle. The matrix is
-    written once to the shared folder, so each fold reads it pruned to its day range.
+    written once to the shared folder, so each fold reads it pruned to its day range, and every
+    fold's forecasts are written there too: a lost executor costs at most the folds in flight.
     """
+    spark = matrix.sparkSession
     start, step = first_origin(model), model.recalibrate_every_days
     rows = materialise(with_folds(matrix, model), "boosted-matrix")
     folds = rows.select(F.max(S.FOLD)).first()[0]
     if folds is None:
         raise ValueError("not enough history for a single fold")
+    out = scratch_path(spark, "boosted-forecasts")
     learner = GBTRegressor(
         featuresCol="features", labelCol=S.PRICE, predictionCol="predicted", seed=model.seed,
         maxIter=rounds, maxDepth=depth, stepSize=0.1, maxBins=64, minInstancesPerNode=20,
     )
 
-    def one_fold(fold: int) -> DataFrame:
+    def one_fold(fold: int) -> None:
         origin = start + fold * step
         past = F.col(DAY_IDX).between(max(0, origin - model.window_days), origin - 1)
         fitted = learner.fit(design(rows.where(past), model))
         tested = fitted.transform(design(rows.where(F.col(S.FOLD) == fold), model))
-        return as_forecast(tested, S.BOOSTED, F.col("predicted"))
+        as_forecast(tested, S.BOOSTED, F.col("predicted")).write.parquet(f"{out}/fold={fold}")
 
     with ThreadPoolExecutor(concurrent_fits) as pool:
-        parts = list(pool.map(one_fold, range(folds + 1)))
-    return reduce(DataFrame.unionByName, parts)
+        list(pool.map(one_fold, range(folds + 1)))
+    return spark.read.schema(S.FORECASTS).parquet(f"{out}/fold=*")

@@ -65,12 +65,12 @@ def gap_filled(hub: DataFrame, model: Model) -> DataFrame:
     seen_slot = F.when(F.col("_known").isNotNull(), F.col(S.HOUR))
     before = W.partitionBy(*day).orderBy(S.HOUR, S.INTERVAL).rowsBetween(W.unboundedPreceding, 0)
     after = W.partitionBy(*day).orderBy(S.HOUR, S.INTERVAL).rowsBetween(0, W.unboundedFollowing)
-    sided = (
-        dense.withColumn("_v0", F.last("_known", ignorenulls=True).over(before))
-        .withColumn("_h0", F.last(seen_slot, ignorenulls=True).over(before))
-        .withColumn("_v1", F.first("_known", ignorenulls=True).over(after))
-        .withColumn("_h1", F.first(seen_slot, ignorenulls=True).over(after))
-    )
+    sided = dense.withColumns({
+        "_v0": F.last("_known", ignorenulls=True).over(before),
+        "_h0": F.last(seen_slot, ignorenulls=True).over(before),
+        "_v1": F.first("_known", ignorenulls=True).over(after),
+        "_h1": F.first(seen_slot, ignorenulls=True).over(after),
+    })
     share = (F.col(S.HOUR) - F.col("_h0")) / (F.col("_h1") - F.col("_h0"))
     filled = F.coalesce("_known", F.col("_v0") + (F.col("_v1") - F.col("_v0")) * share)
     return sided.select(
@@ -109,11 +109,7 @@ def with_price_lags(hub: DataFrame, model: Model) -> DataFrame:
 def with_calendar(df: DataFrame) -> DataFrame:
     """Local weekday (Monday 0), month and federal-holiday flag of the delivery day."""
     day = F.col(S.DAY)
-    return (
-        df.withColumn(S.DOW, F.weekday(day))
-        .withColumn(S.MONTH, F.month(day))
-        .withColumn(S.HOLIDAY, holiday_flag(day))
-    )
+    return df.withColumns({S.DOW: F.weekday(day), S.MONTH: F.month(day), S.HOLIDAY: holiday_flag(S.DAY)})
 
 
 def with_exogenous(df: DataFrame, load: DataFrame, weather: DataFrame) -> DataFrame:

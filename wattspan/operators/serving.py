@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.time import floor_minutes, local_time
+from ..functions.time import delivery_midnight_utc, floor_minutes, local_time
 
 
 def _of_point(df: DataFrame, point: str) -> DataFrame:
@@ -20,13 +20,11 @@ def _of_point(df: DataFrame, point: str) -> DataFrame:
 
 def latest_prices(prices: DataFrame, point: str, market: str, zone: str) -> DataFrame:
     """All intervals of the point's last local day, priced or not; empty for an unknown point."""
-    day = local_time(F.col(S.INTERVAL), zone).cast("date")
     rows = _of_point(prices, point)
-    last = rows.agg(F.max(S.INTERVAL).alias("ts")).select(
-        local_time(F.col("ts"), zone).cast("date")
-    )
-    return rows.withColumn("local_day", day).where(F.col("local_day") == last.scalar()).select(
-        S.POINT, F.lit(market).alias("market"), "local_day", S.INTERVAL, S.PRICE, S.REGIME
+    opening = rows.agg(F.max(S.INTERVAL).alias("ts")).select(delivery_midnight_utc(F.col("ts"), zone))
+    day = local_time(F.col(S.INTERVAL), zone).cast("date").alias("local_day")
+    return rows.where(F.col(S.INTERVAL) >= opening.scalar()).select(
+        S.POINT, F.lit(market).alias("market"), day, S.INTERVAL, S.PRICE, S.REGIME
     ).orderBy(S.INTERVAL)
 
 
@@ -68,8 +66,15 @@ def hourly_history(history: DataFrame) -> DataFrame:
 def recent_history(
     prices: DataFrame, point: str, zone: str, days: int = 30, hourly: bool = False
 ) -> DataFrame:
-    """The trailing days of the history, counted back from the last row, both ends included."""
-    history = price_history(prices, point, zone)
+    """The trailing days of the history, counted back from the last row, both ends included.
+
+    A coarse bound on the stored interval, a day wider than asked, lets the scan skip older files;
+    the exact cut is made on local time afterwards.
+    """
+    rows = _of_point(prices, point)
+    counted = rows.where(F.col(S.PRICE).isNotNull()) if hourly else rows
+    bound = counted.agg(F.max(S.INTERVAL) - F.make_dt_interval(F.lit(days + 1)))
+    history = price_history(rows.where(F.col(S.INTERVAL) >= bound.scalar()), point, zone)
     if hourly:
         history = hourly_history(history)
     cutoff = history.agg(F.max("local_time") - F.make_dt_interval(F.lit(days)))

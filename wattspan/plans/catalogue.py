@@ -21,7 +21,7 @@ from ..operators import clean, features, folds, forecast, quality, serving, summ
 from ..operators.baselines import naive_week, seasonal_dow
 from ..operators.boosted import boosted
 from ..operators.lear import lear
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..sources import landing, tables
 from ..sources import marketviews as V
 from . import stages
@@ -95,14 +95,19 @@ def _history_matrix(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stored_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """The matrix as the forecast stage finds it: a written table, read several times per run."""
+    return materialise(_history_matrix(spark, sf), "matrix")
+
+
 def _baseline_forecasts(spark: SparkSession, sf: str) -> DataFrame:
     return forecast.walk_forward(
-        _history_matrix(spark, sf), HISTORY.model, [S.NAIVE_WEEK, S.SEASONAL_DOW], checked=False
+        _stored_matrix(spark, sf), HISTORY.model, [S.NAIVE_WEEK, S.SEASONAL_DOW], checked=False
     )
 
 
 def _naive(spark: SparkSession, sf: str) -> DataFrame:
-    return naive_week(_history_matrix(spark, sf), HISTORY.model)
+    return naive_week(_stored_matrix(spark, sf), HISTORY.model)
 
 
 def _backtest(spark: SparkSession, sf: str) -> DataFrame:
@@ -277,7 +282,7 @@ def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def holiday_days(spark: SparkSession, sf: str) -> DataFrame:
     days = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.to_date("l_shipdate").alias("day")).distinct()
-    return days.select("day", holiday_flag(F.col("day")).alias(S.HOLIDAY))
+    return days.select("day", holiday_flag("day").alias(S.HOLIDAY))
 
 
 def exogenous_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -322,7 +327,7 @@ def leakage_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _on_history(operator: Callable[..., DataFrame]) -> Query:
-    return lambda spark, sf: operator(_history_matrix(spark, sf), HISTORY.model)
+    return lambda spark, sf: operator(_stored_matrix(spark, sf), HISTORY.model)
 
 
 def forecast_gbt(spark: SparkSession, sf: str) -> DataFrame:
@@ -406,8 +411,9 @@ def sensitivity_sweep(spark: SparkSession, sf: str) -> DataFrame:
     pooled = HISTORY.with_market(settlement_points=("ALL",))
     prices = V.history_prices(spark, sf)
     matrix = features.model_matrix(prices, V.history_load(spark, sf), V.history_weather(spark, sf), pooled)
+    stored = materialise(matrix, "matrix")
     return B.sensitivity_sweep(
-        seasonal_dow(matrix, pooled.model), prices, BATTERY, S.SEASONAL_DOW, checked=False
+        seasonal_dow(stored, pooled.model), prices, BATTERY, S.SEASONAL_DOW, checked=False
     )
 
 
@@ -416,7 +422,7 @@ def _summary(operator: Callable[..., DataFrame], *args) -> Query:
 
 
 def backtest_headline(spark: SparkSession, sf: str) -> DataFrame:
-    daily = _backtest(spark, sf)
+    daily = materialise(_backtest(spark, sf), "backtest")
     return serving.backtest_headline(
         summaries.annual_summary(daily), summaries.annualised_per_kw_year(daily, BATTERY)
     )

@@ -93,20 +93,22 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _mean_by_point(rows: DataFrame, interval, point: str, value: str) -> DataFrame:
+    """Mean cents per interval and point, and pooled as point 'ALL' from the same partial sums."""
+    parts = rows.groupBy(interval.alias(S.INTERVAL), F.col(point).alias("_point")).agg(
+        F.sum(_cents(value)).alias("cents"), F.count("*").alias("n")
+    )
+    both = parts.withColumn(S.POINT, F.explode(F.array(F.lit("ALL"), F.col("_point"))))
+    return both.groupBy(S.INTERVAL, S.POINT).agg((F.sum("cents") / F.sum("n")).alias("mean"))
+
+
 def hub_hourly(
     spark: SparkSession, sf_dir: str, config: Config = EVENT_CONFIG
 ) -> DataFrame:
     """Hourly mean price per event type and pooled as point 'ALL', in the price contract."""
-    hourly = (
-        _table(spark, sf_dir, "events")
-        .select(
-            floor_minutes(F.col("ts"), 60).alias(S.INTERVAL),
-            F.explode(F.array(F.lit("ALL"), F.col("event_type"))).alias(S.POINT),
-            _cents("value").alias("cents"),
-        )
-        .groupBy(S.INTERVAL, S.POINT)
-        .agg((F.sum("cents") / F.count("*") / 100 - 20).alias(S.PRICE))
-    )
+    events = _table(spark, sf_dir, "events")
+    hour = floor_minutes(F.col("ts"), 60)
+    hourly = _mean_by_point(events, hour, "event_type", "value").withColumn(S.PRICE, F.col("mean") / 100 - 20)
     return S.enforce(tag_regime(hourly, config.market), S.PRICES)
 
 
@@ -129,15 +131,9 @@ def history_prices(
     items = _table(spark, sf_dir, "lineitem")
     if only_status is not None:
         items = items.where(F.col("l_linestatus") == only_status)
-    blocks = (
-        items.select(
-            _block("l_shipdate", "l_orderkey").alias(S.INTERVAL),
-            F.explode(F.array(F.lit("ALL"), F.col("l_returnflag"))).alias(S.POINT),
-            _cents("l_extendedprice").alias("cents"),
-        )
-        .groupBy(S.INTERVAL, S.POINT)
-        .agg((F.sum("cents") / F.count("*") / 100000).alias(S.PRICE))
-    )
+    block = _block("l_shipdate", "l_orderkey")
+    means = _mean_by_point(items, block, "l_returnflag", "l_extendedprice")
+    blocks = means.withColumn(S.PRICE, F.col("mean") / 100000)
     return S.enforce(tag_regime(blocks, config.market), S.PRICES)
 
 
