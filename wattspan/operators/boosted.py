@@ -34,7 +34,7 @@ def design(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def boosted(
-    matrix: DataFrame, model: Model, rounds: int = 20, depth: int = 5, concurrent_fits: int = 8
+    matrix: DataFrame, model: Model, rounds: int = 100, depth: int = 5, concurrent_fits: int = 8
 ) -> DataFrame:
     """Fit each fold on the days before it and predict its test block.
 

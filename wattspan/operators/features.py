@@ -29,6 +29,13 @@ def hub_frame(da_prices: DataFrame, config: Config) -> DataFrame:
     )
 
 
+def check_points(da_prices: DataFrame, config: Config) -> None:
+    """Raise when no configured settlement point has a price; reads one row."""
+    points = config.market.settlement_points
+    if da_prices.where(F.col(S.POINT).isin(*points)).isEmpty():
+        raise ValueError(f"no day-ahead prices for settlement points {list(points)}")
+
+
 def gap_filled(hub: DataFrame, model: Model) -> DataFrame:
     """Hub rows plus a filler row for every missing slot of a day, with `source_price` for lags.
 
