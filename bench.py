@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from wattspan.plans.catalogue import registered  # noqa: E402
 from wattspan.session import build_session  # noqa: E402
+from wattspan.sources.marketviews import table  # noqa: E402
 
 HEADLINE = [
     "clean_da_prices", "clean_rt_prices", "clean_weather", "quality_report", "price_lags",
@@ -34,7 +35,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = registered()
-    spark.read.parquet(f"{sf_dir}/events.parquet").count()  # JVM and reader start-up
+    table(spark, sf_dir, "events").count()  # JVM and reader start-up
     seconds = {}
     for name in HEADLINE:
         started = time.perf_counter()

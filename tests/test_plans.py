@@ -104,3 +104,13 @@ def test_session_zone_does_not_change_results(spark, sf_dir):
         assert total() == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_backtest_reads_one_model_folder(spark, sf_dir, tmp_path):
+    matrix = materialise(C._history_matrix(spark, sf_dir), "matrix")
+    both = forecast.walk_forward(matrix, C.HISTORY.model, [S.NAIVE_WEEK, S.SEASONAL_DOW])
+    tables.write_table(both, str(tmp_path), "forecasts", partition_by=(S.MODEL,), sort_by=(S.POINT, S.INTERVAL))
+    stored = tables.read_table(spark, str(tmp_path), "forecasts")
+    assert stored.schema.names == S.FORECASTS.names
+    one = C.B.settlement_join(stored.where(F.col(S.MODEL) == S.NAIVE_WEEK), V.history_prices(spark, sf_dir))
+    assert "PartitionFilters: [isnotnull(model" in plan(one)

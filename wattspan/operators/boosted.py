@@ -34,7 +34,7 @@ def design(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def boosted(
-    matrix: DataFrame, model: Model, rounds: int = 100, depth: int = 5, concurrent_fits: int = 8
+    matrix: DataFrame, model: Model, rounds: int = 100, depth: int = 5, concurrent_fits: int | None = None
 ) -> DataFrame:
     """Fit each fold on the days before it and predict its test block.
 
@@ -62,6 +62,7 @@ def boosted(
         tested = fitted.transform(design(rows.where(F.col(S.FOLD) == fold), model))
         as_forecast(tested, S.BOOSTED, F.col("predicted")).write.parquet(f"{out}/fold={fold}")
 
-    with ThreadPoolExecutor(concurrent_fits) as pool:
+    in_flight = concurrent_fits or max(8, spark.sparkContext.defaultParallelism // 4)
+    with ThreadPoolExecutor(in_flight) as pool:
         list(pool.map(one_fold, range(folds + 1)))
     return spark.read.schema(S.FORECASTS).parquet(f"{out}/fold=*")

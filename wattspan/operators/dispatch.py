@@ -12,6 +12,7 @@ arrays at once, level axis times day axis.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from math import sqrt
 
 import numpy as np
@@ -26,10 +27,8 @@ TIE = 1e-10
 FRICTION = 1e-7
 _ROWS_PER_SOLVE = 256
 
-SCHEDULE = (
-    "charge_mw array<double>, discharge_mw array<double>, soe_mwh array<double>, "
-    "profit_usd double, throughput_mwh double, status string"
-)
+TOTALS = "profit_usd double, throughput_mwh double, status string"
+SCHEDULE = f"charge_mw array<double>, discharge_mw array<double>, soe_mwh array<double>, {TOTALS}"
 
 
 def energy_levels(steps: int, up: float, down: float, capacity: float, start: float) -> np.ndarray:
@@ -225,25 +224,30 @@ def solve_batch(vectors: list[np.ndarray], battery: Battery, hours: float = 1.0)
 
 
 def optimise_dispatch(
-    prices: Column, battery: Battery, duration_h: Column | None = None, wear: Column | None = None,
+    prices: Column,
+    battery: Battery,
+    duration_h: Column | None = None,
+    wear: Column | None = None,
     hours: float = 1.0,
+    schedule: bool = True,
 ) -> Column:
-    """Struct column (see SCHEDULE) with the best schedule of an array-of-prices column.
+    """Struct column with the best schedule of an array-of-prices column, or only its totals.
 
     Duration and wear may differ by row, so one pass serves all variants of a sweep.
     """
-    from dataclasses import replace
+    fields = SCHEDULE if schedule else TOTALS
+    names = [part.split()[0] for part in fields.split(", ")]
 
-    names = [part.split()[0] for part in SCHEDULE.split(", ")]
-
-    @F.pandas_udf(SCHEDULE)
+    @F.pandas_udf(fields)
     def solve(vectors: pd.Series, durations: pd.Series, wears: pd.Series) -> pd.DataFrame:
         out: list[tuple] = [()] * len(vectors)
-        for (duration, cost), part in vectors.groupby([durations, wears]):
+        variants = pd.DataFrame({"d": durations.to_numpy(), "w": wears.to_numpy()})
+        for (duration, cost), part in variants.groupby(["d", "w"]):
             unit = replace(battery, duration_h=float(duration), cycling_cost_per_mwh=float(cost))
-            solved = solve_batch([np.asarray(v, dtype=float) for v in part], unit, hours)
-            for at, row in zip(vectors.index.get_indexer(part.index), solved):
-                out[at] = row
+            members = part.index.to_numpy()
+            solved = solve_batch([np.asarray(vectors.iloc[k], dtype=float) for k in members], unit, hours)
+            for k, row in zip(members, solved):
+                out[k] = row[-len(names):]
         return pd.DataFrame(out, columns=names)
 
     return solve(

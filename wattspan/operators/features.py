@@ -78,7 +78,7 @@ def gap_filled(hub: DataFrame, model: Model) -> DataFrame:
         "_v1": F.first("_known", ignorenulls=True).over(after),
         "_h1": F.first(seen_slot, ignorenulls=True).over(after),
     })
-    share = (F.col(S.HOUR) - F.col("_h0")) / (F.col("_h1") - F.col("_h0"))
+    share = F.try_divide(F.col(S.HOUR) - F.col("_h0"), F.col("_h1") - F.col("_h0"))
     filled = F.coalesce("_known", F.col("_v0") + (F.col("_v1") - F.col("_v0")) * share)
     return sided.select(
         S.INTERVAL, *day, S.HOUR, S.REGIME, S.PRICE,

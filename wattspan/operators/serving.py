@@ -151,8 +151,8 @@ def backtest_headline(annual: DataFrame, annualised: DataFrame) -> DataFrame:
 
 
 def iso_instant(ts: Column) -> Column:
-    """ISO-8601 text of a UTC instant."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    """ISO-8601 text of a UTC instant; the plain cast keeps the session zone out of it."""
+    return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("+00:00"))
 
 
 def json_records(df: DataFrame) -> DataFrame:

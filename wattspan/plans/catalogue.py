@@ -46,7 +46,7 @@ def _shaped(df: DataFrame) -> DataFrame:
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
         if kind == "timestamp_ntz":
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+            column = F.substring(column.cast("string"), 1, 19)
         elif kind == "date":
             column = column.cast("string")
         elif kind == "double":
@@ -122,7 +122,7 @@ def _partial_prices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _event_span(spark: SparkSession, sf: str) -> tuple[date, date]:
-    row = spark.read.parquet(f"{sf}/events.parquet").agg(F.min("ts"), F.max("ts")).first()
+    row = V.table(spark, sf, "events").agg(F.min("ts"), F.max("ts")).first()
     return row[0].date(), row[1].date()
 
 
@@ -159,7 +159,7 @@ def raw_land_missing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def calendar_days(spark: SparkSession, sf: str) -> DataFrame:
-    shipped = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.to_date("l_shipdate").alias("day"))
+    shipped = V.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day"))
     first, last = shipped.agg(F.min("day"), F.max("day")).first()
     counts = shipped.groupBy("day").agg(F.count("*").alias("shipped"))
     days = landing.calendar_days(spark, first, last)
@@ -168,7 +168,7 @@ def calendar_days(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_scan_filtered(spark: SparkSession, sf: str) -> DataFrame:
     feed = landing.Feed("events", per_location=True, interval="ts", location="event_type")
-    events = spark.read.parquet(f"{sf}/events.parquet")
+    events = V.table(spark, sf, "events")
     window = landing.pushed_window(events, feed, date(2024, 1, 8), date(2024, 1, 15), ("click", "view"))
     return window.select("event_id", "ts", "event_type", "value")
 
@@ -195,7 +195,7 @@ def feed_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enforce_schema(spark: SparkSession, sf: str) -> DataFrame:
-    loose = spark.read.parquet(f"{sf}/events.parquet").select(
+    loose = V.table(spark, sf, "events").select(
         F.col("user_id").alias(S.REGIME), F.col("value").cast("string").alias(S.PRICE),
         F.col("event_type").alias(S.POINT), F.col("ts").alias(S.INTERVAL), "props",
     )
@@ -203,9 +203,9 @@ def enforce_schema(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def to_utc(spark: SparkSession, sf: str) -> DataFrame:
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    stamp = F.substring(F.col("ts").cast("string"), 1, 19)
     text = F.when(F.col("event_id") % 2 == 0, F.concat(stamp, F.lit("-06:00"))).otherwise(stamp)
-    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", text.alias("text"))
+    events = V.table(spark, sf, "events").select("event_id", text.alias("text"))
     return events.select("event_id", clean.to_utc(events, "text").alias("utc"))
 
 
@@ -281,7 +281,7 @@ def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def holiday_days(spark: SparkSession, sf: str) -> DataFrame:
-    days = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.to_date("l_shipdate").alias("day")).distinct()
+    days = V.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day")).distinct()
     return days.select("day", holiday_flag("day").alias(S.HOLIDAY))
 
 

@@ -42,8 +42,20 @@ RUN_CONFIG: Config = DEFAULT.with_market(settlement_points=("ALL",), regimes=SIN
 BATTERY: Battery = DEFAULT.battery
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared so that a read starts no job to look into file footers.
+_SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _cents(column: str):
@@ -51,7 +63,7 @@ def _cents(column: str):
 
 
 def _raw_prices(spark: SparkSession, sf_dir: str, minutes: int) -> DataFrame:
-    return _table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         floor_minutes(F.col("ts"), minutes).alias(S.INTERVAL),
         F.col("event_type").alias("location"),
         (F.col("value") - 20).alias("spp"),
@@ -70,7 +82,7 @@ def raw_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _table(spark, sf_dir, "events")
+        table(spark, sf_dir, "events")
         .groupBy(floor_minutes(F.col("ts"), 60).alias(S.INTERVAL))
         .agg(
             (F.sum(_cents("value")) / 100).alias("system_total"),
@@ -82,7 +94,7 @@ def raw_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = floor_minutes(F.col("ts"), 60)
     behind = F.make_dt_interval(hours=F.col("event_id") % 48)
-    return _table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         hour.alias(S.INTERVAL),
         F.when(F.col("event_id") % 97 != 0, hour - behind).alias("publish_time_utc"),
         F.col("value").alias("z1"),
@@ -106,7 +118,7 @@ def hub_hourly(
     spark: SparkSession, sf_dir: str, config: Config = EVENT_CONFIG
 ) -> DataFrame:
     """Hourly mean price per event type and pooled as point 'ALL', in the price contract."""
-    events = _table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     hour = floor_minutes(F.col("ts"), 60)
     hourly = _mean_by_point(events, hour, "event_type", "value").withColumn(S.PRICE, F.col("mean") / 100 - 20)
     return S.enforce(tag_regime(hourly, config.market), S.PRICES)
@@ -119,7 +131,7 @@ def _block(ts: str, key: str):
 def pooled_quarter_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarter-hourly mean price over all events as point 'ALL'."""
     quarter = floor_minutes(F.col("ts"), 15).alias(S.INTERVAL)
-    rows = _table(spark, sf_dir, "events").select(quarter, _cents("value").alias("cents"))
+    rows = table(spark, sf_dir, "events").select(quarter, _cents("value").alias("cents"))
     pooled = rows.groupBy(S.INTERVAL).agg((F.sum("cents") / F.count("*") / 100 - 20).alias(S.PRICE))
     return pooled.withColumn(S.POINT, F.lit("ALL"))
 
@@ -128,7 +140,7 @@ def history_prices(
     spark: SparkSession, sf_dir: str, config: Config = HISTORY_CONFIG, only_status: str | None = None
 ) -> DataFrame:
     """Block prices per return flag and pooled as 'ALL', in the price contract."""
-    items = _table(spark, sf_dir, "lineitem")
+    items = table(spark, sf_dir, "lineitem")
     if only_status is not None:
         items = items.where(F.col("l_linestatus") == only_status)
     block = _block("l_shipdate", "l_orderkey")
@@ -140,7 +152,7 @@ def history_prices(
 def history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block demand: quantity shipped in the block."""
     return (
-        _table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem")
         .groupBy(_block("l_shipdate", "l_orderkey").alias(S.INTERVAL))
         .agg(F.sum("l_quantity").alias(S.DEMAND))
     )
@@ -148,7 +160,7 @@ def history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem")
         .groupBy(_block("l_shipdate", "l_orderkey").alias(S.INTERVAL))
         .agg((F.sum(_cents("l_discount")) / F.count("*")).alias(S.TEMP))
     )
@@ -156,7 +168,7 @@ def history_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw feeds with one row per event, many copies per interval, for whole stage runs."""
-    events = _table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     hour, value, arrival = floor_minutes(F.col("ts"), 60), F.col("value"), F.col("event_id").alias(ARRIVAL)
 
     def prices(minutes: int) -> DataFrame:
