@@ -155,6 +155,35 @@ def iso_instant(ts: Column) -> Column:
     return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("+00:00"))
 
 
+def _payload(rows: DataFrame, day: str, listed: str, item: Column, **head: str) -> DataFrame:
+    """One JSON document: the head fields, the day, and the day's rows as a list, at most 100.
+
+    Without rows the day is null and the list empty.
+    """
+    whole = rows.agg(
+        F.max(day).cast("string").alias(day), F.sort_array(F.collect_list(item)).alias(listed)
+    )
+    fields = [F.lit(value).alias(name) for name, value in head.items()]
+    document = F.struct(*fields, day, listed)
+    return whole.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("payload"))
+
+
+def price_payload(prices: DataFrame, point: str, market: str, zone: str) -> DataFrame:
+    """The last local day of prices of a point as one JSON document."""
+    item = F.struct(iso_instant(F.col(S.INTERVAL)).alias(S.INTERVAL), S.PRICE, S.REGIME)
+    rows = latest_prices(prices, point, market, zone)
+    return _payload(rows, "local_day", "intervals", item, settlement_point=point, market=market)
+
+
+def forecast_payload(forecasts: DataFrame, point: str, model: str) -> DataFrame:
+    """The last delivery day of a model's forecasts as one JSON document."""
+    item = F.struct(
+        S.HOUR, iso_instant(F.col(S.INTERVAL)).alias(S.INTERVAL), S.PREDICTED, S.REALISED, S.REGIME
+    )
+    rows = latest_forecast(forecasts, point, model)
+    return _payload(rows, S.DAY, "hours", item, settlement_point=point, model=model)
+
+
 def json_records(df: DataFrame) -> DataFrame:
     """One JSON text per row: instants as ISO-8601 UTC, dates as ISO text, NaN and NULL as null."""
     shaped = []

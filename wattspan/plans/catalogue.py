@@ -331,9 +331,9 @@ def _on_history(operator: Callable[..., DataFrame]) -> Query:
 
 
 def forecast_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    """Retrained twice a year with 20 trees: every fold is a distributed fit of its own."""
-    twice_a_year = HISTORY.with_model(recalibrate_every_days=182).model
-    return boosted(_history_matrix(spark, sf), twice_a_year, rounds=20)
+    """Retrained once a year with 20 trees: every fold is a distributed fit of its own."""
+    yearly = HISTORY.with_model(recalibrate_every_days=364).model
+    return boosted(_history_matrix(spark, sf), yearly, rounds=20)
 
 
 def available_models_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -440,6 +440,19 @@ def latest_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return serving.latest_forecast(_baseline_forecasts(spark, sf), "ALL", S.SEASONAL_DOW)
 
 
+def _cents(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c) + 3e-7, 2) + F.lit(0.0) for c in columns})
+
+
+def price_payload(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.price_payload(_cents(_hub(spark, sf), S.PRICE), "ALL", "da", HUB_CONFIG.market.timezone)
+
+
+def forecast_payload(spark: SparkSession, sf: str) -> DataFrame:
+    forecasts = _cents(_baseline_forecasts(spark, sf), S.PREDICTED, S.REALISED)
+    return serving.forecast_payload(forecasts, "ALL", S.SEASONAL_DOW)
+
+
 def price_history_hourly(spark: SparkSession, sf: str) -> DataFrame:
     zone = HUB_CONFIG.market.timezone
     return serving.hourly_history(serving.price_history(V.pooled_quarter_hours(spark, sf), "ALL", zone))
@@ -451,10 +464,8 @@ def price_history_recent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def iso_records(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _clean(spark, sf, "da").select(
-        S.INTERVAL, (F.round(F.col(S.PRICE), 2) + F.lit(0.0)).alias(S.PRICE), S.REGIME
-    )
-    return serving.json_records(rows)
+    rows = _cents(_clean(spark, sf, "da"), S.PRICE)
+    return serving.json_records(rows.select(S.INTERVAL, S.PRICE, S.REGIME))
 
 
 # -- stage runs -------------------------------------------------------------------------------
@@ -571,6 +582,8 @@ CATALOGUE: dict[str, Query] = {
     "backtest_headline": backtest_headline,
     "latest_prices": latest_prices,
     "latest_forecast": latest_forecast,
+    "price_payload": price_payload,
+    "forecast_payload": forecast_payload,
     "latest_price": lambda spark, sf: serving.latest_price(_clean(spark, sf, "rt")),
     "price_history_hourly": price_history_hourly,
     "price_history_recent": price_history_recent,

@@ -656,8 +656,25 @@ SELECT {_t('lt')} AS local_time, {_r('price')} AS price_usd_per_mwh FROM hh
 WHERE lt >= (SELECT max(lt) - INTERVAL 7 DAY FROM hh)""", hourly)
     out["iso_records"] = _q("""
 SELECT '{"interval_start_utc":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') || '","price_usd_per_mwh":'
-       || CAST(round(price, 2) + 0.0 AS VARCHAR) || ',"regime":"' || regime || '"}' AS record
+       || CAST(round(price + 3e-7, 2) + 0.0 AS VARCHAR) || ',"regime":"' || regime || '"}' AS record
 FROM da""")
+    out["price_payload"] = _q("""
+SELECT '{"settlement_point":"ALL","market":"da","local_day":"'
+       || strftime(max(CAST(ts - INTERVAL 6 HOUR AS DATE)), '%Y-%m-%d') || '","intervals":['
+       || string_agg('{"interval_start_utc":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00')
+            || '","price_usd_per_mwh":' || CAST(round(price + 3e-7, 2) + 0.0 AS VARCHAR)
+            || ',"regime":"' || regime || '"}', ',' ORDER BY ts) || ']}' AS payload
+FROM hub WHERE point = 'ALL'
+  AND CAST(ts - INTERVAL 6 HOUR AS DATE) = (SELECT max(CAST(ts - INTERVAL 6 HOUR AS DATE)) FROM hub WHERE point = 'ALL')""")
+    out["forecast_payload"] = _q("""
+SELECT '{"settlement_point":"ALL","model":"seasonal_dow","delivery_date":"' || strftime(max(d), '%Y-%m-%d')
+       || '","hours":[' || string_agg('{"hour_of_day":' || h || ',"interval_start_utc":"'
+            || strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') || '","predicted_usd_per_mwh":'
+            || CAST(round(predicted + 3e-7, 2) + 0.0 AS VARCHAR) || ',"realised_usd_per_mwh":'
+            || CAST(round(realised + 3e-7, 2) + 0.0 AS VARCHAR) || ',"regime":"' || regime || '"}', ',' ORDER BY h)
+       || ']}' AS payload
+FROM hi_fc WHERE point = 'ALL' AND model = 'seasonal_dow'
+  AND d = (SELECT max(d) FROM hi_fc WHERE point = 'ALL' AND model = 'seasonal_dow')""", HI)
 
     # Stage runs
     out["refresh_with_outage"] = _q("\nUNION ALL\n".join(
