@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 from compare import connect, difference
+from wattspan.plans.catalogue import registered
+from wattspan.plans.twins import twins
 
-QUERIES, TWINS = E.queries(), E.oracle_sql()
+QUERIES, TWINS = registered(), twins()
 
 
 @pytest.fixture(scope="module")
