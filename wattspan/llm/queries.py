@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii
+from . import fingerprints, pii, quality
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,9 +16,19 @@ def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(documents(spark, sf_dir))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.query(documents(spark, sf_dir))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def registered() -> dict[str, Query]:
     return {
+        "op3_quality_rules": op3_quality_rules,
         "op8_pii_spans": op8_pii_spans,
+        "op10_fingerprints": op10_fingerprints,
     }
 
 
