@@ -24,7 +24,7 @@ BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 TRUSTED_ROWS = 20_000
 SMOOTHING = 0.5
-THRESHOLD = -0.1
+THRESHOLD = -0.3
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 SYMBOLS = "[#*$%&|<>]"

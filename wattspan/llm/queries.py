@@ -4,14 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, pii, quality
+from . import bpe, fingerprints, packing, pii, quality, simhash, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.query(documents(spark, sf_dir))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.query(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.query(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
 def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(documents(spark, sf_dir))
 
@@ -26,8 +45,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_quality_rules": op3_quality_rules,
+        "op5_simhash_groups": op5_simhash_groups,
+        "op7_byte_bpe": op7_byte_bpe,
         "op8_pii_spans": op8_pii_spans,
+        "op9_packing": op9_packing,
         "op10_fingerprints": op10_fingerprints,
     }
 
