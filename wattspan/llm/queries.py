@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, packing, pii, quality, simhash, toxicity
+from . import bpe, fingerprints, lines, packing, pii, quality, simhash, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(documents(spark, sf_dir))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.query(documents(spark, sf_dir))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.query(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -48,6 +52,7 @@ def registered() -> dict[str, Query]:
         "op1_toxicity": op1_toxicity,
         "op3_quality_rules": op3_quality_rules,
         "op5_simhash_groups": op5_simhash_groups,
+        "op6_line_dedup": op6_line_dedup,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_pii_spans": op8_pii_spans,
         "op9_packing": op9_packing,
