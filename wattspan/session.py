@@ -44,14 +44,33 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), "wattspan", f"{label}-{uuid.uuid4().hex}")
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write the frame to the shared folder and read it back: lineage ends at durable files."""
+    """Write the frame to the shared folder and read it back: lineage ends at durable files.
+
+    The shuffle files behind the write are dropped as soon as it is done.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that `materialise` wrote; nothing may read it afterwards."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def task_count(spark: SparkSession) -> int:
     """Partition count for Python stages, where the work per byte is high.
 
