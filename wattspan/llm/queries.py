@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, lines, packing, pii, quality, simhash, toxicity
+from . import bpe, fingerprints, katz, lines, packing, pii, quality, simhash, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.query(documents(spark, sf_dir))
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(documents(spark, sf_dir))
 
@@ -50,6 +54,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_katz_backoff": op2_katz_backoff,
         "op3_quality_rules": op3_quality_rules,
         "op5_simhash_groups": op5_simhash_groups,
         "op6_line_dedup": op6_line_dedup,
