@@ -223,6 +223,12 @@ def dedup(docs: DataFrame) -> DataFrame:
                       counts.alias("line_counts"))
 
 
+def strip(docs: DataFrame) -> DataFrame:
+    """`dedup` without the counts; `n_chars`, where present, is brought up to date."""
+    out = dedup(docs).drop("line_counts")
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
 def query(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed and the hash of the text that stays."""
     return dedup(docs.select("doc_id", "text")).select(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, katz, lines, packing, pii, quality, simhash, toxicity
+from . import bpe, fingerprints, katz, lines, packing, passages, pii, quality, simhash, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.query(documents(spark, sf_dir))
 
 
+def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.query(documents(spark, sf_dir))
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ def registered() -> dict[str, Query]:
         "op1_toxicity": op1_toxicity,
         "op2_katz_backoff": op2_katz_backoff,
         "op3_quality_rules": op3_quality_rules,
+        "op4_passage_dedup": op4_passage_dedup,
         "op5_simhash_groups": op5_simhash_groups,
         "op6_line_dedup": op6_line_dedup,
         "op7_byte_bpe": op7_byte_bpe,
