@@ -18,11 +18,12 @@ import base64
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
+import re
+import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import re
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -33,8 +34,9 @@ from .common import let, whole_text
 FREQUENT_WORDS = 20_000
 FREQUENT_BYTES = 24
 _BUCKETS = 1 << 15
-_CACHE = 400_000
+_CACHE = 300_000
 _SHORT = 48
+_NONE = 1 << 30
 
 #: Unicode white space, as the split pattern's \s means it.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -65,13 +67,15 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     if len(word) > _SHORT:
         return _merge_long(word, ranks)
     parts = [word[i: i + 1] for i in range(len(word))]
-    while len(parts) > 1:
-        found = [ranks.get(a + b, 1 << 30) for a, b in zip(parts, parts[1:])]
-        least = min(found)
-        if least == 1 << 30:
-            break
-        i = found.index(least)
-        parts[i: i + 2] = [parts[i] + parts[i + 1]]
+    pairs = [ranks.get(a + b, _NONE) for a, b in zip(parts, parts[1:])]
+    while pairs and (least := min(pairs)) < _NONE:
+        i = pairs.index(least)
+        parts[i] += parts.pop(i + 1)
+        pairs.pop(i)
+        if i:
+            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], _NONE)
+        if i < len(pairs):
+            pairs[i] = ranks.get(parts[i] + parts[i + 1], _NONE)
     return [ranks[p] for p in parts]
 
 
@@ -106,38 +110,47 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class Recent(dict):
+    """A cache of two generations: the younger one fills up, then it becomes the older one."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.older.get(key)
+        if made is None:
+            made = self.make(key)
+        if len(self) >= _CACHE:
+            self.older = dict(self)
+            self.clear()
+        self[key] = made
+        return made
+
+
 class Encoder:
     """Texts to ids as packed little-endian 32-bit integers, with caches of bounded size."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, frequent: dict[str, list[int]] | None = None):
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.words: dict[str, bytes] = {w: self._pack(ids) for w, ids in (frequent or {}).items()}
-        self.frequent = dict(self.words)
-        self.runs: dict[str, bytes] = {}
+    def __init__(self, ranks: dict[bytes, int], pattern: str, frequent: dict[str, list[int]] | None = None,
+                 encode_run: Callable[[str], list[int]] | None = None):
+        """`encode_run` replaces the cut into words and their merges."""
+        self.ranks, self.cut = ranks, regex.compile(pattern).findall
+        self.frequent = {w: self._pack(ids) for w, ids in (frequent or {}).items()}
+        run = (lambda r: self._pack(encode_run(r))) if encode_run else self._run
+        self.words, self.runs = Recent(self._word), Recent(run)
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
-        packed = self.words.get(word)
-        if packed is None:
-            if len(self.words) >= _CACHE:
-                self.words = dict(self.frequent)
-            packed = self.words[word] = self._pack(merge(word.encode("utf-8"), self.ranks))
-        return packed
+        return self.frequent.get(word) or self._pack(merge(word.encode("utf-8"), self.ranks))
+
+    def _run(self, run: str) -> bytes:
+        return b"".join([self.words[w] for w in self.cut(run)])
 
     def encode(self, text: str) -> bytes:
-        out, runs = [], self.runs
-        for run in _RUNS.findall(text):
-            packed = runs.get(run)
-            if packed is None:
-                packed = b"".join([self._word(w) for w in self.pattern.findall(run)])
-                if len(runs) >= _CACHE:
-                    runs.clear()
-                runs[run] = packed
-            out.append(packed)
-        return b"".join(out)
+        return b"".join(map(self.runs.__getitem__, _RUNS.findall(text)))
 
 
 def _latin(word: bytes) -> str:

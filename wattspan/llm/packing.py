@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,11 +55,12 @@ def cut(size: int, most: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, json_path: str, pattern: str, tokens: int) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
-    ranks = read_json_ranks(json_path)
+    ranks = read_json_ranks(json_path)  # text never becomes a special token, whatever it spells
     end = END_ID.to_bytes(4, "little")
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks, pattern)
+        library = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encoder = Encoder(ranks, pattern, encode_run=library.encode_ordinary)
         for batch in batches:
             rows, columns = [], ([], [], [], [])
             for row, text in enumerate(batch.column(1)):
