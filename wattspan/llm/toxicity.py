@@ -55,6 +55,8 @@ _INSULT, _THREAT, _TARGET, _NEGATION, _REPORT, _END = 1, 2, 4, 8, 16, 32
 _PATHS = ("plain", "aimed", "negated", "reported", "threat", "strongest")
 #: Where learning starts from and is drawn to: the constant, then one weight per path.
 _PRIOR = np.array([-3.0, 2.0, 2.5, 1.0, 1.0, 2.0, 2.0])
+#: How hard each learned row lets the path weights be drawn back, so that paths keep their order.
+_HOLD = 0.002
 _PUNCTUATION = ".,;:!?…\"'()[]«»“”„%&$*#|"
 _CACHED_WORDS = 300_000
 
@@ -119,7 +121,7 @@ def clause_paths(tags: list[int]) -> list[float]:
     return found
 
 
-def match(text: str, tagger: Tagger, paths: tuple[float, ...]) -> tuple[list[float], int, str]:
+def match(text: str, tagger: Tagger) -> tuple[list[float], int, str]:
     """Document features by `_PATHS`, the number of matched clauses, and the strongest clause."""
     words = text.lower().replace("\n", " .\n").split()
     tags = [tagger[w] for w in words]
@@ -136,7 +138,7 @@ def match(text: str, tagger: Tagger, paths: tuple[float, ...]) -> tuple[list[flo
             last += 1
         done = last
         found = clause_paths(tags[first: last + 1])
-        score = sum(f * p for f, p in zip(found, paths[1:6]))
+        score = sum(f * p for f, p in zip(found, _PRIOR[1:6]))
         if any(found):
             count += 1
             sums = [a + b for a, b in zip(sums, found)]
@@ -203,7 +205,7 @@ def mine(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
 def fit(features: np.ndarray, toxic: np.ndarray) -> tuple[float, ...]:
     """Logistic regression drawn to the prior weights, by Newton steps; path weights stay positive."""
     x, weights = np.column_stack([np.ones(len(features)), features]), _PRIOR.copy()
-    pull = np.r_[0.01, np.full(len(_PATHS), 0.5)]
+    pull = np.r_[0.01, np.full(len(_PATHS), 0.5 + _HOLD * len(features))]
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
         slope = x.T @ (p - toxic) + pull * (weights - _PRIOR)
@@ -224,7 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Grammar:
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(start)
         for batch in batches:
-            found = [match(t, tagger, start.paths)[0] for t in batch.column(0).to_pylist()]
+            found = [match(t, tagger)[0] for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.float64())), batch.column(1)], names=["features", "toxic"])
 
@@ -243,7 +245,7 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(grammar)
         for batch in batches:
-            found = [match(t.as_py(), tagger, grammar.paths) for t in batch.column(2)]
+            found = [match(t.as_py(), tagger) for t in batch.column(2)]
             scores = [value(f, grammar.paths) for f, _, _ in found]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(scores, pa.float64()),
@@ -264,7 +266,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(grammar)
         for batch in batches:
-            clean = [value(match(t.as_py() or "", tagger, grammar.paths)[0], grammar.paths) < THRESHOLD
+            clean = [value(match(t.as_py() or "", tagger)[0], grammar.paths) < THRESHOLD
                      for t in batch.column(at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
