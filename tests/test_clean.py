@@ -106,3 +106,26 @@ def test_enforce_orders_casts_and_reports_missing(spark):
     assert S.enforce(df, S.PRICES).schema.names == S.PRICES.names
     with pytest.raises(ValueError, match="regime"):
         S.enforce(df.drop("regime"), S.PRICES)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Chicago", "America/New_York"])
+def test_to_utc_keeps_instants_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        texts = ["2023-11-05T06:30:00Z", "2023-11-05T07:30:00Z", "2023-11-05T01:30:00.250001-06:00", "2024-01-01 06:00:00"]
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r[0] for r in df.select(clean.to_utc(df, "t")).collect()]
+        assert got == [datetime(2023, 11, 5, 6, 30), datetime(2023, 11, 5, 7, 30),
+                       datetime(2023, 11, 5, 7, 30, 0, 250001), datetime(2024, 1, 1, 6)]
+        micros = spark.range(1).select(F.timestamp_micros(F.lit(1_699_169_400_000_007)).alias("t"))
+        assert micros.select(clean.to_utc(micros, "t")).first()[0] == datetime(2023, 11, 5, 7, 30, 0, 7)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_dedup_without_arrival_does_not_depend_on_partitions(spark):
+    rows = [(1, 7, float(i), str(40 - i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, retrieved_at_utc int, v double, w string")
+    picks = {tuple(clean.dedup(df.repartition(n), ["k"], ["retrieved_at_utc"], carry=["v", "w"]).first()) for n in (1, 2, 5, 16)}
+    assert picks == {(1, 0.0, "40")}

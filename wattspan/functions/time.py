@@ -39,16 +39,22 @@ def epoch_seconds(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", origin, ts) / F.lit(1e6)
 
 
+def instant_to_utc(instant: Column) -> Column:
+    """UTC wall clock of an instant, reckoned from its epoch so that no session wall clock is involved."""
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(8,0)")
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return origin + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def parse_to_utc(value: Column) -> Column:
-    """Parse text or an instant to UTC wall clock, whatever offset the text carries.
+    """Parse text to UTC wall clock, whatever offset the text carries.
 
     Text without an offset counts as UTC: it is read with an explicit offset appended, so the
     session zone has no say.
     """
     text = F.trim(value.cast("string"))
     stamped = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
-    instant = F.to_timestamp(stamped)
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return instant_to_utc(F.to_timestamp(stamped))
 
 
 def day_number(day: Column) -> Column:

@@ -20,9 +20,9 @@ def as_forecast(rows: DataFrame, name: str, predicted: Column) -> DataFrame:
 
 
 def naive_week(matrix: DataFrame, model: Model) -> DataFrame:
-    """Same hour one week ago, which is the seven-day lag."""
+    """The price of the matching slot seven days earlier, read from its lag column."""
     if 7 not in model.price_lag_days:
-        raise ValueError("the naive week baseline needs the seven-day price lag")
+        raise ValueError("configure a price lag of 7 days to use this model")
     tested = with_folds(matrix, model).where(F.col(S.FOLD).isNotNull())
     return as_forecast(tested, S.NAIVE_WEEK, F.col(S.lag_name(7)))
 

@@ -34,12 +34,13 @@ def design(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def boosted(
-    matrix: DataFrame, model: Model, rounds: int = 100, depth: int = 5, concurrent_fits: int | None = None
+    matrix: DataFrame, model: Model, rounds: int = 100, depth: int = 5, concurrent_fits: int = 8
 ) -> DataFrame:
     """Fit each fold on the days before it and predict its test block.
 
     The trees of a fold grow as distributed jobs over all its rows, all points pooled; several
-    folds are submitted at once so that small ones do not leave the cluster idle. The matrix is
+    folds (`concurrent_fits`, which also bounds the windows held in memory) are submitted at once so
+    that small ones do not leave the cluster idle. The matrix is
     written once to the shared folder, so each fold reads it pruned to its day range, and every
     fold's forecasts are written there too: a lost executor costs at most the folds in flight.
     """
@@ -63,7 +64,6 @@ def boosted(
         tested = fitted.transform(design(rows.where(F.col(S.FOLD) == fold), model))
         as_forecast(tested, S.BOOSTED, F.col("predicted")).write.parquet(f"{out}/fold={fold}")
 
-    in_flight = concurrent_fits or max(8, spark.sparkContext.defaultParallelism // 4)
-    with ThreadPoolExecutor(in_flight) as pool:
+    with ThreadPoolExecutor(concurrent_fits) as pool:
         list(pool.map(one_fold, range(folds + 1)))
     return spark.read.schema(S.FORECASTS).parquet(f"{out}/fold=*")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..config import Config, Market, Regime
 from ..functions.numeric import fahrenheit_to_celsius, lenient_double, row_mean
-from ..functions.time import delivery_midnight_utc, local_time, parse_to_utc
+from ..functions.time import delivery_midnight_utc, instant_to_utc, local_time, parse_to_utc
 
 PUBLISH = "publish_time_utc"
 
@@ -21,7 +21,9 @@ WEATHER_META = ("interval_start_utc", "interval_end_utc", PUBLISH, "retrieved_at
 def to_utc(df: DataFrame, column: str) -> Column:
     """UTC wall clock of a column; NTZ input is UTC already and is passed through."""
     kind = dict(df.dtypes)[column]
-    return F.col(column) if kind == "timestamp_ntz" else parse_to_utc(F.col(column))
+    if kind == "timestamp_ntz":
+        return F.col(column)
+    return instant_to_utc(F.col(column)) if kind == "timestamp" else parse_to_utc(F.col(column))
 
 
 def dedup(
@@ -35,12 +37,17 @@ def dedup(
 
     Written as an extreme-by aggregate, not a ranking window: each task reduces its own copies
     before the shuffle, so a key with a third of all rows costs one row per task, not one big sort.
-    All picks share the ordering value, so they come from the same row.
+    With an `arrival` number, which is unique per landed row, all picks come from the same row. Any
+    other order may tie: then one struct of order and values is picked, so that the result is one
+    row and does not depend on partitioning.
     """
-    pick = F.min_by if keep == "first" else F.max_by
-    ordering = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     columns = [c for c in df.columns if c not in keys] if carry is None else list(carry)
-    return df.groupBy(*keys).agg(*[pick(c, ordering).alias(c) for c in columns])
+    if list(order) == ["arrival"]:
+        pick = F.min_by if keep == "first" else F.max_by
+        return df.groupBy(*keys).agg(*[pick(c, F.col("arrival")).alias(c) for c in columns])
+    extreme = F.min if keep == "first" else F.max
+    row = extreme(F.struct(*order, *[c for c in columns if c not in order])).alias("_row")
+    return df.groupBy(*keys).agg(row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
 
 
 def regime_of(local_day: Column, regimes: Sequence[Regime]) -> Column:

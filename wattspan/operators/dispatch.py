@@ -163,12 +163,14 @@ class LevelGrid:
         if high[2] <= limit + 1e-9:
             return high[1], high[0], None
         low = (np.zeros(prices.shape), 0.0, 0.0)
-        for _ in range(200):
+        while True:  # each round keeps a schedule of new throughput between the two, of which there are finitely many
             price = (high[1] - low[1]) / (high[2] - low[2])
             mid = at(price)
             gain = (mid[1] - price * mid[2]) - (low[1] - price * low[2])
             if gain <= 1e-9 or mid[2] in (high[2], low[2]):
                 break
+            if not low[2] < mid[2] < high[2]:
+                raise RuntimeError("the search for a throughput price left its bracket")
             if mid[2] > limit:
                 high = mid
             else:
@@ -196,9 +198,9 @@ def _schedule_rows(grid: LevelGrid, prices: np.ndarray, moves: np.ndarray, lengt
 def solve_batch(vectors: list[np.ndarray], battery: Battery, hours: float = 1.0) -> list[tuple]:
     """Schedules of several price vectors of any lengths; an empty or unknown price is an error."""
     if any(v is None or len(v) == 0 for v in vectors):
-        raise ValueError("the price vector is empty, there is nothing to schedule")
+        raise ValueError("no prices to schedule for this day")
     if any(np.isnan(v).any() for v in vectors):
-        raise ValueError("the price vector holds a missing price")
+        raise ValueError("a price of this day is unknown")
     lengths = np.array([len(v) for v in vectors])
     rows: list[tuple] = [()] * len(vectors)
     # Similar lengths share a grid, rounded up: more levels than needed stay exact.

@@ -45,7 +45,8 @@ def lasso_knots(gram: np.ndarray, corr: np.ndarray) -> list[np.ndarray]:
     tiny = 1e-11 * max(level, 1e-300)
     entering = int(np.argmax(np.where(usable, np.abs(corr), -1.0))) if level > 0 else None
     gone = None
-    for _ in range(8 * size):
+    stalled = 0
+    while True:
         if entering is not None:
             trial = [*active, entering]
             block = gram[np.ix_(trial, trial)] / np.sqrt(np.outer(scale[trial], scale[trial]))
@@ -74,6 +75,9 @@ def lasso_knots(gram: np.ndarray, corr: np.ndarray) -> list[np.ndarray]:
         step = min(float(join.min()), float(leave.min()), level)
         beta = beta + step * direction
         level -= step
+        stalled = 0 if step > 0 else stalled + 1
+        if stalled > 4 * size:
+            raise RuntimeError("the lasso path makes no progress: columns join and leave at one level")
         entering = gone = None
         if step == leave.min():
             gone = int(np.argmin(leave))

@@ -408,14 +408,9 @@ def scenario_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sensitivity_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """All six variants over the pooled point, driven by the seasonal forecast."""
-    pooled = HISTORY.with_market(settlement_points=("ALL",))
-    prices = V.history_prices(spark, sf)
-    matrix = features.model_matrix(prices, V.history_load(spark, sf), V.history_weather(spark, sf), pooled)
-    stored = materialise(matrix, "matrix")
-    return B.sensitivity_sweep(
-        seasonal_dow(stored, pooled.model), prices, BATTERY, S.SEASONAL_DOW, checked=False
-    )
+    """All six variants over every point, driven by the seasonal forecast."""
+    driven = seasonal_dow(_stored_matrix(spark, sf), HISTORY.model)
+    return B.sensitivity_sweep(driven, V.history_prices(spark, sf), BATTERY, S.SEASONAL_DOW, checked=False)
 
 
 def _summary(operator: Callable[..., DataFrame], *args) -> Query:
@@ -504,7 +499,8 @@ def refresh_with_outage(spark: SparkSession, sf: str) -> DataFrame:
     def down(start: date, end: date) -> DataFrame:
         raise OSError("source is down")
 
-    skipped = stages.land_sources({**fetchers, "weather": down}, root, first, last, spark)
+    outcome = stages.land_sources({**fetchers, "weather": down}, root, first, last, spark)
+    skipped = [dataset for dataset, state in outcome.items() if state.startswith("down")]
     parts = [
         landing.read_raw(spark, f"{root}/raw", feed).groupBy("date").count().agg(
             F.lit(feed.dataset).alias("feed"), F.lit(int(feed.dataset in skipped)).alias("skipped"),

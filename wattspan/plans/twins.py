@@ -302,9 +302,9 @@ RUN = (_matrix("run", "run_da", "run_load", "run_weather", "ts - INTERVAL 6 HOUR
 BASE = [(2.0, 0.0)]
 SWEEP = [(d, w) for d in (1.0, 2.0, 4.0) for w in (0.0, 200.0)]
 NAIVE = "(SELECT * FROM hi_fc WHERE model = 'naive_week')"
-SEASONAL_ALL = "(SELECT * FROM hi_fc WHERE model = 'seasonal_dow' AND point = 'ALL')"
+SEASONAL = "(SELECT * FROM hi_fc WHERE model = 'seasonal_dow')"
 BT = _backtest("bt", NAIVE, BASE)
-SW = _backtest("sw", SEASONAL_ALL, SWEEP)
+SW = _backtest("sw", SEASONAL, SWEEP)
 
 _PRICE_ROW = (f"{_t('ts')} AS interval_start_utc, point AS settlement_point, "
               f"{_r('price')} AS price_usd_per_mwh, regime")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .config import Model
 
+# Column names, labels and the forbidden columns are the stored data contract.
 INTERVAL = "interval_start_utc"
 POINT = "settlement_point"
 PRICE = "price_usd_per_mwh"

@@ -28,12 +28,14 @@ def build_session(app: str = "wattspan", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only where the setting is absent (tests on one machine) is a local temporary folder taken.
+    Only a local master may go without the setting (tests on one machine): it takes a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         named = tempfile.mkdtemp(prefix="wattspan-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -65,10 +67,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a table that `materialise` wrote; nothing may read it afterwards."""
-    spark = df.sparkSession
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(df.sparkSession, folder)
+
+
+def delete_path(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of any file system that Spark knows; one that isn't there is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def task_count(spark: SparkSession) -> int:
