@@ -102,7 +102,7 @@ def _stored_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 def _baseline_forecasts(spark: SparkSession, sf: str) -> DataFrame:
     return forecast.walk_forward(
-        _stored_matrix(spark, sf), HISTORY.model, [S.NAIVE_WEEK, S.SEASONAL_DOW], checked=False
+        _stored_matrix(spark, sf), HISTORY.model, [S.NAIVE_WEEK, S.SEASONAL_DOW]
     )
 
 
@@ -112,7 +112,7 @@ def _naive(spark: SparkSession, sf: str) -> DataFrame:
 
 def _backtest(spark: SparkSession, sf: str) -> DataFrame:
     return B.daily_backtest(
-        _naive(spark, sf), V.history_prices(spark, sf), BATTERY, S.NAIVE_WEEK, checked=False
+        _naive(spark, sf), V.history_prices(spark, sf), BATTERY, S.NAIVE_WEEK
     )
 
 
@@ -410,7 +410,7 @@ def scenario_union(spark: SparkSession, sf: str) -> DataFrame:
 def sensitivity_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """All six variants over every point, driven by the seasonal forecast."""
     driven = seasonal_dow(_stored_matrix(spark, sf), HISTORY.model)
-    return B.sensitivity_sweep(driven, V.history_prices(spark, sf), BATTERY, S.SEASONAL_DOW, checked=False)
+    return B.sensitivity_sweep(driven, V.history_prices(spark, sf), BATTERY, S.SEASONAL_DOW)
 
 
 def _summary(operator: Callable[..., DataFrame], *args) -> Query:
