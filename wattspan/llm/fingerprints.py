@@ -107,7 +107,7 @@ def likeness(one: Column, other: Column) -> Column:
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """(doc_id, next_id, need): the next greater id, after the last the first; need: code points asked of it."""
+    """(of_id, next_id, need): the next greater id, after the last the first; need: code points asked of it."""
     ids = (docs.where("doc_id IS NOT NULL").select("doc_id", F.floor(F.length(whole_text()) / 4).alias("need"))
            .groupBy("doc_id").agg(F.max("need").alias("need")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -123,18 +123,20 @@ def successors(docs: DataFrame) -> DataFrame:
     )
     in_part = Window.partitionBy("part").orderBy("doc_id")
     return (laid.withColumn("next_id", F.lead("doc_id").over(in_part)).join(onward, "part")
-            .select("doc_id", F.coalesce("next_id", "onward").alias("next_id"), "need"))
+            .select(F.col("doc_id").alias("of_id"), F.coalesce("next_id", "onward").alias("next_id"), "need"))
 
 
 def query(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and the likenesses between them."""
     own = docs.select("doc_id", whole_text().alias("text")).withColumn("bins", bins(F.col("text")))
     known = own.where("doc_id IS NOT NULL")
-    following = known.select(F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"), F.col("bins").alias("next_bins"))
-    heads = (successors(docs).join(following, "next_id")
-             .select("doc_id", F.substring("next_text", F.lit(1), F.col("need").cast("int")).alias("head"), "next_bins")
-             .groupBy("doc_id").agg(F.min(F.struct("head", "next_bins")).alias("after")))
-    paired = known.join(heads, "doc_id").select("doc_id", "text", "bins", "after.head", "after.next_bins")
+    after = known.alias("after")  # the same frame by the same key: its exchange is made once
+    heads = (successors(docs).join(after, F.col("next_id") == F.col("after.doc_id"))
+             .select(F.col("of_id"), F.substring("after.text", F.lit(1), F.col("need").cast("int")).alias("head"),
+                     F.col("after.bins").alias("next_bins"))
+             .groupBy("of_id").agg(F.min(F.struct("head", "next_bins")).alias("next")))
+    paired = (known.join(heads, known["doc_id"] == heads["of_id"])
+              .select("doc_id", "text", "bins", "next.head", "next.next_bins"))
     alone = own.where("doc_id IS NULL").select("doc_id", "text", "bins", F.lit("").alias("head"),
                                                 F.lit(None).cast("array<tinyint>").alias("next_bins"))
     n = F.length("text")
