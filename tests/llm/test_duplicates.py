@@ -153,10 +153,11 @@ def slow_dedup(docs):
 def test_line_dedup_equals_brute_force(spark):
     docs = line_fixture()
     want, linked = slow_dedup(docs)
-    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS gone")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS _gone", "'y' AS line_counts")
     out = lines.dedup(frame)
     assert Counter((r.doc_id, r.text) for r in out.collect()) == want and linked > 100
-    assert out.columns == ["doc_id", "text", "gone", "line_counts"]
+    assert out.columns == ["doc_id", "text", "_gone", "line_counts", "line_counts_"]
+    assert lines.strip(frame).columns == frame.columns
 
 
 def test_line_dedup_edges(awkward):

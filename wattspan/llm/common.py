@@ -20,9 +20,12 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def unused(docs: DataFrame, name: str) -> str:
+    """The name, or the name with underscores, that no column of docs has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def words(text: Column) -> Column:

@@ -5,8 +5,8 @@ anchored starts, so a very long run of letters or digits is read once. Offsets a
 are exclusive.
 
 Defined results: NULL text counts as empty; a text without spans gets an empty list; repeated rows and
-ids are scored row by row; other columns pass through, and columns that clash with the added names
-(`pii`, and the query's digest columns) are replaced; an empty table gives an empty table.
+ids are scored row by row; other columns pass through `redact`, whatever their names; `find` replaces a
+column of the name it is given; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, running_starts, whole_text
+from .common import let, running_starts, unused, whole_text
 
 #: Kinds in output order; the first four are the base kinds.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -143,11 +143,11 @@ def _spans(kind: str, text: Column) -> Column:
     return F.when(hit, let(pieces, cut)).otherwise(none).cast(f"array<{_SPAN}>")
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """Add `pii`: confirmed spans, by kind and then by start."""
+def find(docs: DataFrame, name: str = "pii") -> DataFrame:
+    """Add the confirmed spans, by kind and then by start, under the given name."""
     text = whole_text()
     kinds = [*BASE_KINDS, *ADDED_KINDS]
-    return docs.withColumn("pii", F.concat(*[_spans(k, text) for k in kinds]))
+    return docs.withColumn(name, F.concat(*[_spans(k, text) for k in kinds]))
 
 
 def joined(spans: Column) -> Column:
@@ -162,9 +162,9 @@ def redact(docs: DataFrame) -> DataFrame:
 
     NULL texts stay NULL. `n_chars`, where present, is brought up to date.
     """
-    text = whole_text()
+    text, spans = whole_text(), unused(docs, "pii")
     ordered = F.array_sort(F.transform(
-        F.col("pii"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
+        F.col(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
     ))
 
     def step(done: Column, s: Column) -> Column:
@@ -178,7 +178,7 @@ def redact(docs: DataFrame) -> DataFrame:
         ordered, begun, step,
         lambda d: F.concat(d["out"], F.substring(text, (d["at"] + 1).cast("int"), F.length(text))),
     )
-    out = find(docs).withColumn("text", F.when(F.size("pii") > 0, masked).otherwise(F.col("text"))).drop("pii")
+    out = find(docs, spans).withColumn("text", F.when(F.size(spans) > 0, masked).otherwise(F.col("text"))).drop(spans)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
