@@ -8,6 +8,10 @@ of (length, segment number, substring). Candidates are verified by a banded bit-
 bit mask of reachable diagonals for each number of edits. Linked lines form classes by connected
 components; the document with the least doc_id keeps the class's first line, all other lines go.
 
+Groups of near lines are united through one head per key before pairs are formed, so a group yields
+about one comparison per line and key; only lines that share a key without being linked are paired, on
+crowded keys only where the parities of their characters allow it.
+
 Spark SQL functions only. Only hashes are shuffled, until texts meet their decisions by doc_id. A line
 that fills more than 1 / `HOT_SHARE` of all line occurrences enters the join once, through a broadcast
 list that can't exceed `HOT_SHARE` rows. Candidate lines are fetched through a bit table of fixed size.
@@ -21,11 +25,11 @@ of their hash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import let, whole_text
+from .common import let, unused, whole_text
 from .graph import components
 
 MIN_LENGTH = 10
@@ -33,6 +37,8 @@ TWO_EDITS_FROM = 20
 MAX_EDITS = 2
 HOT_SHARE = 50_000
 _WORDS = 1 << 16
+#: Keys with more entries compare character parities before they form pairs.
+CROWD = 16
 
 
 def edits(length: int) -> int:
@@ -103,18 +109,22 @@ def first_seen(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return counts, counts.where((F.col("n") > max(total / HOT_SHARE, 1))).select(F.col("h").alias("hot"), F.col("first_doc").alias("rep_doc"))
 
 
-def candidates(lines: DataFrame, hot: DataFrame) -> DataFrame:
-    """(a, b): lines that share an index key, a < b, each pair once."""
+def shared_keys(lines: DataFrame, hot: DataFrame) -> DataFrame:
+    """(key, h, index, head): entries whose key two lines share; head: the key's least indexed line."""
     once = (lines.join(F.broadcast(hot), lines["h"] == hot["hot"], "left")
             .where("hot IS NULL OR doc_id = rep_doc"))
     keyed = (once.select("h", F.explode(entries(F.col("line"), F.length("line"))).alias("e"))
-             .select("e.key", F.col("h").bitwiseOR(F.col("e.index").cast("long")).alias("mark"))
-             .repartition("key").dropDuplicates(["key", "mark"]))
-    index = keyed.where(F.col("mark").bitwiseAND(1) == 1).alias("i")
-    probe = keyed.alias("p")
-    one, other = F.col("p.mark").bitwiseAND(-2), F.col("i.mark").bitwiseAND(-2)
-    return (probe.join(index, F.col("p.key") == F.col("i.key")).where(one != other)
-            .select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct())
+             .select("e.key", F.col("h").bitwiseOR(F.col("e.index").cast("long")).alias("mark")).repartition("key"))
+    group = Window.partitionBy("key")
+    line, index = F.col("mark").bitwiseAND(-2), F.col("mark").bitwiseAND(1) == 1
+    met = keyed.select("key", "mark", F.min(line).over(group).alias("least"), F.max(line).over(group).alias("most"),
+                       F.min(F.when(index, line)).over(group).alias("head"))
+    return met.where("least != most AND head IS NOT NULL").select(
+        "key", line.alias("h"), index.alias("index"), "head").distinct()
+
+
+def _ordered(pairs: DataFrame, one: Column, other: Column) -> DataFrame:
+    return pairs.where(one != other).select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
 
 def within(one: Column, other: Column, allowed: Column) -> Column:
@@ -154,6 +164,17 @@ def within(one: Column, other: Column, allowed: Column) -> Column:
     return F.when(size, let(F.split(one, ""), lambda p: let(F.split(other, ""), lambda t: run(p, t)))).otherwise(F.lit(False))
 
 
+def parity(line: Column) -> Column:
+    """64 bits: whether each class of characters (code point modulo 64) occurs an odd number of times.
+
+    One edit changes at most two of them, so lines that differ in more than 2 * MAX_EDITS are not near.
+    """
+    def flip(bits: Column, c: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(64))))
+
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), flip)
+
+
 def _wanted(hashes: DataFrame) -> DataFrame:
     """One row: a bit table of `_WORDS` 64-bit words in which every given hash has its bit."""
     slot = F.shiftright("h", 7).bitwiseAND(_WORDS - 1).cast("int")
@@ -165,26 +186,45 @@ def _wanted(hashes: DataFrame) -> DataFrame:
         lambda p: p["word"]).alias("bits"))
 
 
-def links(lines: DataFrame, hot: DataFrame) -> DataFrame:
-    """(a, b): verified links between different lines."""
-    pairs = materialise(candidates(lines, hot), "lines-candidates")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+def roots_of_near(lines: DataFrame, hot: DataFrame) -> DataFrame:
+    """(u, root) for every line that is linked to another one.
+
+    First each entry is compared with its key's head, which unites groups of near lines in a number of
+    comparisons that grows with their lines; then all pairs of a key that are not united yet.
+    """
+    shared = materialise(shared_keys(lines, hot), "lines-shared")
+    ends = shared.select("h").distinct()
     bit = F.expr("(get(bits, cast((h >> 7) & %d as int)) >> cast((h >> 1) & 63 as int)) & 1" % (_WORDS - 1)) == 1
-    texts = (lines.withColumn("bits", _wanted(ends).scalar()).where(bit).select("h", "line")
-             .join(ends, "h", "left_semi").dropDuplicates(["h"]))
-    texts = materialise(texts, "lines-texts")
-    a, b = texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), texts.select(F.col("h").alias("b"), F.col("line").alias("line_b"))
+    texts = materialise(lines.withColumn("bits", _wanted(ends).scalar()).where(bit).select("h", "line")
+                        .join(ends, "h", "left_semi").dropDuplicates(["h"]), "lines-texts")
+    a = texts.select(F.col("h").alias("a"), F.col("line").alias("line_a"))
+    b = texts.select(F.col("h").alias("b"), F.col("line").alias("line_b"))
     shorter = F.least(F.length("line_a"), F.length("line_b"))
     allowed = F.when(shorter >= TWO_EDITS_FROM, MAX_EDITS).otherwise(1)
-    return (pairs.join(a, "a").join(b, "b")
-            .where(within(F.col("line_a"), F.col("line_b"), allowed)).select("a", "b"))
+
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        return materialise(pairs.join(a, "a").join(b, "b").where(
+            within(F.col("line_a"), F.col("line_b"), allowed)).select("a", "b"), label)
+
+    near_heads = verified(_ordered(shared, F.col("h"), F.col("head")), "lines-heads")
+    united = components(near_heads, "a", "b")
+    crowded = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("key")
+    signed = texts.join(shared.join(crowded, "key").select("h").distinct(), "h", "left_semi").select(
+        F.col("h").alias("of"), parity(F.col("line")).alias("parity"))
+    placed = materialise(
+        shared.join(united, shared["h"] == united["u"], "left").join(signed, shared["h"] == signed["of"], "left")
+        .select("key", "h", "index", F.coalesce("root", "h").alias("root"), "parity"), "lines-placed")
+    apart = placed.alias("p").join(placed.where("index").alias("i"), F.expr(
+        f"p.key = i.key AND p.root != i.root AND coalesce(bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}, true)"))
+    rest = verified(_ordered(apart, F.col("p.h"), F.col("i.h")), "lines-rest")
+    return components(near_heads.union(rest), "a", "b")
 
 
 def decisions(docs: DataFrame) -> DataFrame:
     """(doc_id, gone, same): hashes of lines to drop, and (h, root) of lines that stand for one another."""
     lines = _lines(docs)
     first, hot = first_seen(lines)
-    roots = components(links(lines, hot), "a", "b")
+    roots = roots_of_near(lines, hot)
     classed = first.join(roots, first["h"] == roots["u"], "left").select(
         "h", "n", "first_doc", F.coalesce("root", "h").alias("root"), F.col("root").isNotNull().alias("near"))
     keepers = classed.where("near").groupBy("root").agg(F.min("first_doc").alias("near_doc"))
@@ -201,31 +241,32 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The documents without their repeated lines, and `line_counts`: (all, kept)."""
-    made = decisions(docs).select(F.col("doc_id").alias("_doc_id"), F.col("gone").alias("_gone"), F.col("same").alias("_same"))
-    joined = docs.join(made, docs["doc_id"] == made["_doc_id"], "left")
+    key, gone, same, stay = (unused(docs, n) for n in ("_doc_id", "_gone", "_same", "_kept"))
+    made = decisions(docs).select(F.col("doc_id").alias(key), F.col("gone").alias(gone), F.col("same").alias(same))
+    joined = docs.join(made, docs["doc_id"] == made[key], "left")
 
     def kept(cut: Column) -> Column:
-        def by_key(keys: Column) -> Column:
+        def by_root(roots: Column) -> Column:
             return F.filter(cut, lambda x, i: ~eligible(x) | (
-                ~F.coalesce(F.array_contains("_gone", line_hash(x)), F.lit(False))
-                & (F.array_position(keys, F.get(keys, i)) == i + 1)))
+                ~F.coalesce(F.array_contains(gone, line_hash(x)), F.lit(False))
+                & (F.array_position(roots, F.get(roots, i)) == i + 1)))
 
-        def key(x: Column) -> Column:
-            found = F.get(F.filter("_same", lambda e: e["h"] == line_hash(x)), F.lit(0))
+        def root(x: Column) -> Column:
+            found = F.get(F.filter(same, lambda e: e["h"] == line_hash(x)), F.lit(0))
             return F.coalesce(found["root"], line_hash(x))
 
-        return let(F.transform(cut, key), by_key)
+        return let(F.transform(cut, root), by_root)
 
     cut = F.split(F.col("text"), "\n")
-    out = joined.withColumn("_kept", F.when(docs["doc_id"].isNull(), cut).otherwise(let(cut, kept)))
-    counts = F.struct(F.coalesce(F.size(cut), F.lit(0)).alias("all"), F.coalesce(F.size("_kept"), F.lit(0)).alias("kept"))
-    return out.select(*[F.array_join("_kept", "\n").alias("text") if c == "text" else docs[c] for c in docs.columns],
-                      counts.alias("line_counts"))
+    out = joined.withColumn(stay, F.when(docs["doc_id"].isNull(), cut).otherwise(let(cut, kept)))
+    counts = F.struct(F.coalesce(F.size(cut), F.lit(0)).alias("all"), F.coalesce(F.size(stay), F.lit(0)).alias("kept"))
+    return out.select(*[F.array_join(stay, "\n").alias("text") if c == "text" else docs[c] for c in docs.columns],
+                      counts.alias(unused(docs, "line_counts")))
 
 
 def strip(docs: DataFrame) -> DataFrame:
     """`dedup` without the counts; `n_chars`, where present, is brought up to date."""
-    out = dedup(docs).drop("line_counts")
+    out = dedup(docs).drop(unused(docs, "line_counts"))
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
