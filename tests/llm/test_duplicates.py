@@ -150,7 +150,9 @@ def slow_dedup(docs):
     return out, len(linked)
 
 
-def test_line_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize("crowd", [0, 16])
+def test_line_dedup_equals_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(lines, "CROWD", crowd)
     docs = line_fixture()
     want, linked = slow_dedup(docs)
     frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS _gone", "'y' AS line_counts")
