@@ -218,3 +218,19 @@ def test_passages_join_all_exact_repeats(sample):
 def test_passage_edges(awkward):
     assert {(r.doc_id, r.other_doc_id) for r in passages.query(awkward).collect()} == set()
     assert passages.query(awkward.limit(0)).count() == 0
+
+
+def test_aligned_shrinks_to_passages_in_another_order():
+    """Y noise P X against X noise P Y: every shared part is an exact passage, none may get lost."""
+    x, y, noise, p = ([f"{n}{i}" for i in range(k)] for n, k in (("x", 30), ("y", 30), ("n", 40), ("p", 60)))
+    other_noise = [f"m{i}" for i in range(40)]
+    one, other = (passages.shingles(" ".join(w).encode()) for w in (y + noise + p + x, x + other_noise + p + y))
+    for place in (70, 95, 125):
+        found = passages.aligned(one, other, [(place, place)])
+        assert found and all(a <= 70 and a + n >= 126 and s >= 0.8 for a, _, n, s in found)
+    # A word changed in the passage, and a part that repeats, which the sets of shingles count once.
+    changed = p[:30] + ["new"] + p[31:]
+    other = passages.shingles(" ".join(x + other_noise + changed + y).encode())
+    assert passages.aligned(one, other, [(75, 75)])
+    one, other = (passages.shingles(" ".join(w).encode()) for w in (y + noise + p + x * 3, x + other_noise + p + y * 3))
+    assert passages.aligned(one, other, [(95, 95)])
