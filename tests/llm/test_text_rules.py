@@ -138,3 +138,10 @@ def test_running_starts(spark, size):
 
     got = spark.range(1).select(running_starts(F.sequence(F.lit(1), F.lit(size))).alias("s")).first().s
     assert got == [i * (i + 1) // 2 for i in range(size)]
+
+
+def test_every_trusted_document_is_counted(spark):
+    """Where all documents are trusted, both multinomials are the same, however many there are."""
+    docs = spark.range(25_000).selectExpr("id AS doc_id", "'one word more' AS text")
+    rows = quality.query(docs, docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic"))
+    assert rows.where("llr = 0").count() == 25_000

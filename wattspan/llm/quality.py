@@ -1,8 +1,8 @@
 """Quality rules: base rules, then a hashed n-gram log-likelihood ratio per document.
 
 Words and word pairs are hashed into fixed tables of buckets. One multinomial is counted over every
-document (raw), one over trusted documents: labelled quality 1, at most `TRUSTED_ROWS` of them by hash
-order of doc_id, the only bound. A document's score is the mean log ratio of the two over its n-grams;
+document (raw), one over all trusted documents: labelled quality 1. Documents meet their labels as arrays
+of bucket numbers, two bytes each, not as texts. A document's score is the mean log ratio of the two over its n-grams;
 it is kept at `THRESHOLD` or more. Spark SQL functions only: the counts are combined before their
 shuffle to `2 * BUCKETS` groups, and the weights reach the documents as one array from a scalar
 subquery of that fixed size.
@@ -22,7 +22,6 @@ from .common import let, whole_text, words
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
-TRUSTED_ROWS = 20_000
 SMOOTHING = 0.5
 THRESHOLD = -0.3
 MIN_WORDS = 20
@@ -48,17 +47,24 @@ def hashed(docs: DataFrame) -> DataFrame:
             .withColumn("w2", _pairs(F.col("w1"), 1)))
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
+def trusted_ids(labels: DataFrame) -> DataFrame:
     return (labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumn("trusted", F.lit(1)))
+            .withColumn("trusted", F.lit(1)))
 
 
 def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row with the array of log ratios: word buckets first, then pair buckets."""
+    half = BUCKETS // 2  # bucket numbers less this fit two bytes
+
+    def small(values: str) -> Column:
+        return F.transform(values, lambda v: (_bucket(v) - half).cast("smallint"))
+
     grams = (
-        hashed(docs).join(F.broadcast(trusted_ids(labels)), "doc_id", "left")
+        hashed(docs).select("doc_id", small("w1").alias("b1"), small("w2").alias("b2"))
+        .join(trusted_ids(labels), "doc_id", "left")
         .select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(F.concat(
-            F.transform("w1", _bucket), F.transform("w2", lambda v: _bucket(v) + BUCKETS)
+            F.transform("b1", lambda v: v.cast("int") + half),
+            F.transform("b2", lambda v: v.cast("int") + half + BUCKETS),
         )).alias("bucket"))
     )
     counts = grams.groupBy("bucket").agg(
