@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import threading
 
 import pytest
 
@@ -80,9 +81,34 @@ def test_quality_base_figures(spark, sample, labels):
         assert not (got.base_failed and got.kept)
 
 
+def ends_within(spark, seconds, frame):
+    """Rows of the frame; its jobs are cancelled, and the test fails, after the time."""
+    timer = threading.Timer(seconds, spark.sparkContext.cancelAllJobs)
+    timer.start()
+    try:
+        return frame.collect()
+    finally:
+        timer.cancel()
+
+
+@pytest.mark.parametrize("name,condition", [
+    ("op3", "NOT base_failed"), ("op3", "n_repeat_words > 0 AND kept"), ("op8", "n_email > 0"),
+    ("op10", "near_edited > 0.5"), ("op10", "near_next < 0.2"),
+])
+def test_native_operators_end_under_a_filter(spark, sample, labels, name, condition):
+    made = {"op3": lambda: quality.query(sample, labels), "op8": lambda: pii.query(sample),
+            "op10": lambda: fingerprints.query(sample)}[name]()
+    all_rows = {r.doc_id: r for r in ends_within(spark, 120, made)}
+    rows = ends_within(spark, 120, made.where(condition))
+    assert rows and all(all_rows[r.doc_id] == r for r in rows)
+    few = made.select("doc_id", made.columns[-1])
+    assert len(ends_within(spark, 120, few)) == len(all_rows)
+
+
 def test_quality_verdict_follows_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    rows = quality.query(docs, labels).join(labels, "doc_id").where("NOT base_failed").select("kept", "quality").collect()
+    judged = quality.query(docs, labels).join(labels, "doc_id").where("NOT base_failed").select("kept", "quality")
+    rows = ends_within(spark, 240, judged)
     good = [r.kept for r in rows if r.quality == 1]
     bad = [r.kept for r in rows if r.quality == 0]
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.1 * len(bad)

@@ -99,11 +99,18 @@ def packed(values: Column) -> Column:
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Estimated Jaccard similarity, corrected for chance agreement of the kept bits."""
-    equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.get(one, i) == F.get(other, i)))
+    """Estimated Jaccard similarity, corrected for chance agreement of the kept bits.
+
+    Both arrays are bound first: a filter above may push their expressions into the lambda.
+    """
     chance = 2.0 ** -BITS
-    corrected = F.greatest(F.lit(0.0), (equal / F.lit(float(BINS)) - chance) / (1 - chance))
-    return F.when(one.isNull() & other.isNull(), 1.0).when(one.isNull() | other.isNull(), 0.0).otherwise(corrected)
+
+    def rated(a: Column, b: Column) -> Column:
+        equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.get(a, i) == F.get(b, i)))
+        corrected = F.greatest(F.lit(0.0), (equal / F.lit(float(BINS)) - chance) / (1 - chance))
+        return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(corrected)
+
+    return let(one, lambda a: let(other, lambda b: rated(a, b)))
 
 
 def successors(docs: DataFrame) -> DataFrame:

@@ -30,11 +30,17 @@ SYMBOLS = "[#*$%&|<>]"
 
 
 def _pairs(hashed: Column, apart: int) -> Column:
-    """Hash of every two entries that stand `apart` entries from each other."""
-    return F.when(F.size(hashed) > apart, F.transform(
-        F.sequence(F.lit(0), F.size(hashed) - 1 - apart),
-        lambda i: F.xxhash64(F.get(hashed, i), F.get(hashed, i + apart)),
-    )).otherwise(F.array().cast("array<bigint>"))
+    """Hash of every two entries that stand `apart` entries from each other.
+
+    The list is bound first: a filter above may push its expression into this lambda.
+    """
+    def pair(entries: Column) -> Column:
+        return F.when(F.size(entries) > apart, F.transform(
+            F.sequence(F.lit(0), F.size(entries) - 1 - apart),
+            lambda i: F.xxhash64(F.get(entries, i), F.get(entries, i + apart)),
+        )).otherwise(F.array().cast("array<bigint>"))
+
+    return let(hashed, pair)
 
 
 def _bucket(value: Column) -> Column:
