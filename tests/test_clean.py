@@ -4,25 +4,25 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import hours_from
+from hours import hours_from
 from wattspan import schemas as S
 from wattspan.config import DEFAULT, Regime
 from wattspan.functions.numeric import fahrenheit_to_celsius
 from wattspan.operators import clean
 
 HUB = "HB_HUBAVG"
-ZONES = ("coast", "east", "far_west", "north", "north_central", "south_central", "southern", "west")
+ZONES = ("harbour", "plateau", "delta", "ridge", "basin")
 RAW = "interval_start_utc timestamp_ntz, location string, spp double, arrival long"
 
 
 def test_prices_keep_hub_first_reading_and_regime(spark):
-    hours = hours_from("2024-01-01 06:00", 3)
-    rows = [(h, HUB, p, i) for i, (h, p) in enumerate(zip(hours, (10.0, -5.0, 6000.0)))]
-    rows += [(hours[0], HUB, 999.0, 7), (hours[1], "HB_WEST", 1.0, 8)]
+    hours, spot = hours_from("2024-05-14 09:00", 4), (37.25, -12.5, 0.0, 8125.75)
+    rows = [(h, HUB, p, i) for i, (h, p) in enumerate(zip(hours, spot))]
+    rows += [(hours[2], HUB, 41.5, 17), (hours[3], "HB_WEST", 63.0, 18)]
     out = clean.clean_prices(spark.createDataFrame(rows, RAW), DEFAULT)
     assert out.schema.names == S.PRICES.names
     got = {r[0]: (r[2], r[3]) for r in out.collect()}
-    assert got == {h: (p, "swcap5000") for h, p in zip(hours, (10.0, -5.0, 6000.0))}
+    assert got == {h: (p, "swcap5000") for h, p in zip(hours, spot)}
 
 
 def test_unreadable_price_is_null(spark):
@@ -61,15 +61,16 @@ def test_dedup_first_last_under_a_hot_key(spark):
 
 def test_zone_mean_and_celsius(spark):
     schema = "interval_start_utc timestamp_ntz, publish_time_utc timestamp_ntz, arrival long, " + ", ".join(f"{z} double" for z in ZONES)
-    at, pub = datetime(2024, 1, 2, 12), datetime(2024, 1, 1)
-    rows = [(at, pub, 1, *[50.0] * 8), (datetime(2024, 1, 2, 13), pub, 2, 50.0, *[None] * 7), (datetime(2024, 1, 2, 14), pub, 3, *[None] * 8)]
+    pub, blank = datetime(2024, 8, 19), [None] * len(ZONES)
+    first, second, third = hours_from("2024-08-20 15:00", 3)
+    rows = [(first, pub, 1, 59.0, 68.0, 77.0, 86.0, 95.0), (second, pub, 2, 14.0, *blank[1:]), (third, pub, 3, *blank)]
     out = clean.clean_weather(spark.createDataFrame(rows, schema), DEFAULT).orderBy(S.INTERVAL).collect()
-    assert [r[1] for r in out] == [10.0, 10.0, None]
-    assert spark.range(1).select(fahrenheit_to_celsius(F.lit(50.0))).first()[0] == 10.0
+    assert [r[1] for r in out] == [25.0, -10.0, None]
+    assert spark.range(1).select(fahrenheit_to_celsius(F.lit(-40.0))).first()[0] == -40.0
 
 
 def test_vintage_rules(spark):
-    at = datetime(2024, 1, 2, 12)  # local delivery day 2024-01-02, midnight 06:00Z
+    at = datetime(2024, 7, 19, 16)  # local delivery day 2024-07-19, midnight 05:00Z
     schema = "interval_start_utc timestamp_ntz, publish_time_utc timestamp_ntz, z double, arrival long"
 
     def temp(*vintages):
@@ -77,12 +78,12 @@ def test_vintage_rules(spark):
         got = clean.clean_weather(spark.createDataFrame(rows, schema), DEFAULT).collect()
         return [round(r[1] * 9 / 5 + 32, 6) for r in got]
 
-    early, late, after = datetime(2024, 1, 1), datetime(2024, 1, 2, 6), datetime(2024, 1, 2, 7)
-    assert temp((late, 60.0), (early, 50.0)) == [60.0]
-    assert temp((early, 50.0), (after, 90.0)) == [50.0]
-    assert temp((after, 90.0)) == []
-    assert temp((None, 70.0), (late, 60.0)) == [70.0]
-    assert temp((late, 60.0), (late, 61.0)) == [61.0]
+    early, late, after = datetime(2024, 7, 17, 22), datetime(2024, 7, 19, 5), datetime(2024, 7, 19, 5, 1)
+    assert temp((late, 88.5), (early, 71.25)) == [88.5]
+    assert temp((early, 71.25), (after, 102.0)) == [71.25]
+    assert temp((after, 102.0)) == []
+    assert temp((None, 95.0), (late, 88.5)) == [95.0]
+    assert temp((late, 88.5), (late, 89.0)) == [89.0]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])

@@ -175,5 +175,5 @@ def test_guards(spark, matrix):
         forecast.walk_forward(matrix.withColumn(S.REGIME, F.when(F.col(S.HOUR) == 0, "a").otherwise("b")), MODEL)
     with pytest.raises(ValueError, match="too few"):
         forecast.walk_forward(matrix, DEFAULT.model)
-    with pytest.raises(ValueError, match="seven-day"):
+    with pytest.raises(ValueError, match="lag of 7 days"):
         naive_week(matrix, DEFAULT.with_model(price_lag_days=(1, 2)).model)

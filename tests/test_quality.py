@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import hours_from
+from hours import hours_from
 from wattspan import schemas as S
 from wattspan.config import DEFAULT
 from wattspan.operators import quality
