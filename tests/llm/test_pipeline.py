@@ -11,7 +11,7 @@ from wattspan.session import materialise
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in queries.registered()}
-    assert names == {f"op{i}" for i in range(1, 11)}
+    assert names == {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages_keep_columns_and_decide(spark, sf_dir):

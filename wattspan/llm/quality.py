@@ -67,7 +67,7 @@ def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     grams = (
         hashed(docs).select("doc_id", small("w1").alias("b1"), small("w2").alias("b2"))
-        .join(trusted_ids(labels), "doc_id", "left")
+        .join(trusted_ids(labels).hint("merge"), "doc_id", "left")  # the ids grow with the corpus
         .select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(F.concat(
             F.transform("b1", lambda v: v.cast("int") + half),
             F.transform("b2", lambda v: v.cast("int") + half + BUCKETS),

@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, katz, lines, packing, passages, pii, quality, simhash, toxicity
+from . import (ann, bpe, fingerprints, katz, lines, negatives, packing, passages, pii, quality, simhash, toxicity,
+               whitening)
 from .common import documents
+from .vectors import embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +57,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.query(embeddings(spark, sf_dir))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.query(embeddings(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.query(embeddings(spark, sf_dir))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -67,9 +81,12 @@ def registered() -> dict[str, Query]:
         "op8_pii_spans": op8_pii_spans,
         "op9_packing": op9_packing,
         "op10_fingerprints": op10_fingerprints,
+        "op11_nearest": op11_nearest,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_whitening": op13_whitening,
     }
 
 
 def twins() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    return {"op12_hard_negatives": negatives.SQL}
