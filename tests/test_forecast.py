@@ -9,7 +9,7 @@ from wattspan import schemas as S
 from wattspan.config import DEFAULT
 from wattspan.operators import folds, forecast
 from wattspan.operators.baselines import naive_week, seasonal_dow
-from wattspan.operators.boosted import boosted
+from wattspan.operators.boosted import BINS, BLOCK_ROWS, LEAST, RATE, boosted, first_splits
 from wattspan.operators.lear import aic_lasso, lasso_knots, lear
 
 MODEL = DEFAULT.with_model(window_days=35, min_train_days=35, recalibrate_every_days=1).model
@@ -166,10 +166,78 @@ def test_boosted_beats_the_mean_and_repeats(matrix):
     assert len(first) == 10 * 6 and set(first[S.MODEL]) == {S.BOOSTED}
     error = (first[S.PREDICTED] - first[S.REALISED]).abs().mean()
     assert error < (first[S.REALISED] - first[S.REALISED].mean()).abs().mean()
-    again = boosted(matrix, model, rounds=10).toPandas().sort_values(S.INTERVAL)
+    again = boosted(matrix.repartition(5), model, rounds=10).toPandas().sort_values(S.INTERVAL)
     assert np.allclose(first[S.PREDICTED], again[S.PREDICTED])
 
 
+def boosted_by_hand(rows, model, rounds, depth):
+    """Plain loops over folds, rounds and nodes; bins as in the operator, a range being one fold."""
+    names = S.feature_names(model)
+    days = np.sort(rows[S.DAY].unique())
+    idx = np.searchsorted(days, rows[S.DAY].to_numpy())
+    x, y, out = rows[names].to_numpy(float), rows[S.PRICE].to_numpy(float), {}
+    for fold, origin in enumerate(range(model.min_train_days, len(days), model.recalibrate_every_days)):
+        train = np.flatnonzero((idx < origin) & (idx >= origin - model.window_days))
+        test = np.flatnonzero((idx >= origin) & (idx < origin + model.recalibrate_every_days))
+        cuts = [sorted({np.sort(x[train, j])[int(np.ceil(len(train) * k / BINS)) - 1] for k in range(1, BINS)}) for j in range(len(names))]
+        now = np.full(len(y), y[train].mean())
+        for _ in range(rounds):
+            rest, leaves = y - now, [(train, test)]
+            for _ in range(depth):
+                grown = []
+                for a, b in leaves:
+                    best = (1e-9 * (1 + rest[a].sum() ** 2 / max(len(a), 1)), None, None)
+                    for j in range(len(names)):
+                        for cut in cuts[j]:
+                            left = x[a, j] <= cut
+                            n = left.sum()
+                            if n < LEAST or len(a) - n < LEAST:
+                                continue
+                            gain = rest[a][left].sum() ** 2 / n + rest[a][~left].sum() ** 2 / (len(a) - n) - rest[a].sum() ** 2 / len(a)
+                            if gain > best[0] * (1 + 1e-8):
+                                best = (gain, j, cut)
+                    if best[1] is None:
+                        grown.append((a, b))
+                    else:
+                        grown += [(a[x[a, best[1]] <= best[2]], b[x[b, best[1]] <= best[2]]),
+                                  (a[x[a, best[1]] > best[2]], b[x[b, best[1]] > best[2]])]
+                leaves = grown
+            for a, b in leaves:
+                now[np.r_[a, b]] += RATE * rest[a].mean()
+        out.update({(rows[S.INTERVAL].iloc[i], rows[S.POINT].iloc[i]): now[i] for i in test})
+    return out
+
+
+def test_boosted_equals_plain_loops_in_one_task_and_in_blocks(spark):
+    model = DEFAULT.with_model(window_days=30, min_train_days=30, recalibrate_every_days=4).model
+    rows = [tuple(float(v) if isinstance(v, np.floating) else v for v in r) for r in synthetic(days=44, points=("A", "B"), horizon=6)]
+    frame = spark.createDataFrame(rows, S.matrix_schema(model))
+    want = boosted_by_hand(frame.toPandas(), model, rounds=3, depth=3)
+    for block_rows in (BLOCK_ROWS, 150):
+        got = {(r[S.INTERVAL], r[S.POINT]): r[S.PREDICTED] for r in boosted(frame, model, 3, 3, block_rows).collect()}
+        assert set(got) == set(want) and len(got) == 14 * 6 * 2
+        assert max(abs(got[k] - want[k]) for k in want) < 1e-9
+
+
+def test_boosted_needs_a_first_fold(matrix):
+    assert boosted(matrix, DEFAULT.model).count() == 0
+    assert first_splits(matrix, DEFAULT.model).count() == 0
+
+
+def test_boosted_takes_one_task_stage_whatever_the_folds(spark, matrix):
+    """Jobs before the result don't depend on the number of folds."""
+    def jobs(step):
+        group = f"boosted-{step}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            boosted(matrix, DEFAULT.with_model(window_days=30, min_train_days=30, recalibrate_every_days=step).model, 2, 2).count()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(1) == jobs(10)
+
+
 def test_guards(spark, matrix):
     with pytest.raises(folds.RegimeError):
         forecast.walk_forward(matrix.withColumn(S.REGIME, F.when(F.col(S.HOUR) == 0, "a").otherwise("b")), MODEL)

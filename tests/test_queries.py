@@ -22,7 +22,8 @@ def test_twin(spark, con, sf_dir, name):
 
 def test_only_fits_and_the_capped_search_lack_a_twin():
     assert set(TWINS) <= set(QUERIES)
-    assert set(QUERIES) - set(TWINS) == {"forecast_lear", "forecast_gbt", "dispatch_capped"}
+    assert set(QUERIES) - set(TWINS) == {"forecast_lear", "forecast_gbt", "dispatch_capped", "walk_forward_all_models",
+                                          "forecast_metrics_all_models", "backtest_boosted"}
 
 
 def test_capped_profit_stays_below_the_ceiling(spark, sf_dir):

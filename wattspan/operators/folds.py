@@ -47,15 +47,40 @@ def fold_of(model: Model) -> Column:
 
 
 def with_folds(matrix: DataFrame, model: Model) -> DataFrame:
-    """Matrix rows with day index, the fold they test and that fold's training range."""
+    """Matrix rows with day index, the fold they test and that fold's training range.
+
+    A row whose point is not mature for the fold tests none: it only trains later ones.
+    """
     start, step = first_origin(model), model.recalibrate_every_days
     origin = F.lit(start) + F.col(S.FOLD) * step
-    return (
+    laid = (
         with_day_index(matrix)
         .withColumn(S.FOLD, fold_of(model))
         .withColumn(ORIGIN, origin.cast("int"))
         .withColumn(TRAIN_FROM, F.greatest(F.lit(0), F.col(ORIGIN) - model.window_days))
     )
+    ready = mature_folds(laid, model).withColumn("_ready", F.lit(True))
+    return laid.join(ready, [S.POINT, S.FOLD], "left").withColumns({
+        name: F.when(F.col("_ready"), F.col(name)) for name in (S.FOLD, ORIGIN, TRAIN_FROM)
+    }).drop("_ready")
+
+
+def mature_folds(rows: DataFrame, model: Model) -> DataFrame:
+    """(point, fold) where the point's own history reaches back far enough.
+
+    A point counts from its first day: it is mature once the fold's origin lies a first history after
+    that day, and it has a day of its own in the training window. Fold numbers stay those of the common
+    calendar, so that rows of all points may train one model without looking ahead. The windows hold
+    one row per point and day.
+    """
+    own = rows.select(S.POINT, DAY_IDX, S.FOLD, ORIGIN, TRAIN_FROM).distinct()
+    days = W.partitionBy(S.POINT).orderBy(DAY_IDX)
+    seen = own.withColumn("_first", F.first(DAY_IDX).over(days)).withColumn("_before", F.lag(DAY_IDX).over(days))
+    reached = (F.col(ORIGIN) - F.col("_first") >= first_origin(model)) & (F.col("_before") >= F.col(TRAIN_FROM))
+    # The fold's first own day: its predecessor is the last day before the origin.
+    return (seen.where(F.col(S.FOLD).isNotNull()).groupBy(S.POINT, S.FOLD)
+            .agg(F.max(reached & (F.coalesce("_before", F.lit(-1)) < F.col(ORIGIN))).alias("_reached"))
+            .where("_reached").select(S.POINT, S.FOLD))
 
 
 def walk_forward_folds(matrix: DataFrame, model: Model) -> DataFrame:

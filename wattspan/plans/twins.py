@@ -157,17 +157,26 @@ def _matrix(name: str, prices: str, load: str, weather: str, local: str, horizon
 
 
 def _folds(name: str, start: int, step: int, window: int) -> str:
-    """CTEs {name}_days, {name}_idx (matrix with folds), {name}_fc (naive and seasonal forecasts)."""
+    """CTEs {name}_days, {name}_idx (matrix with folds), {name}_fc (naive and seasonal forecasts).
+
+    A point's test rows begin with the first fold that starts `start` days after its first day.
+    """
     return f"""
 {name}_days AS (
   SELECT d, row_number() OVER (ORDER BY d) - 1 AS k FROM (SELECT DISTINCT d FROM {name}_mat)),
 {name}_idx AS (
   SELECT m.*, k, CASE WHEN k >= {start} THEN (k - {start}) // {step} END AS fold
   FROM {name}_mat m JOIN {name}_days USING (d)),
+{name}_mature AS (
+  SELECT DISTINCT f.point, f.fold
+  FROM (SELECT DISTINCT point, fold FROM {name}_idx WHERE fold IS NOT NULL) f
+  JOIN (SELECT point, min(k) AS k0 FROM {name}_idx GROUP BY 1) b ON b.point = f.point AND f.fold * {step} >= b.k0
+  JOIN (SELECT DISTINCT point, k FROM {name}_idx) p ON p.point = f.point AND p.k < {start} + f.fold * {step}
+   AND p.k >= {start} + f.fold * {step} - {window}),
 {name}_test AS (
   SELECT *, {start} + fold * {step} AS origin,
          greatest(0, {start} + fold * {step} - {window}) AS since
-  FROM {name}_idx WHERE fold IS NOT NULL),
+  FROM {name}_idx JOIN {name}_mature USING (point, fold)),
 {name}_default AS (
   SELECT t.point, t.fold, avg(p.price) AS price
   FROM (SELECT DISTINCT point, fold, origin, since FROM {name}_test) t
@@ -415,6 +424,47 @@ def _feature_rows() -> str:
     )
 
 
+def _first_split() -> str:
+    """Per fold of the history: the split of the first tree's root, from cumulative sums over quantile edges."""
+    names = [f"price_lag_{k}d" for k in LAGS] + ["hour_of_day", "day_of_week", "month", "holiday_flag",
+                                                 "da_demand_forecast_mw", "temp_c_ercot"]
+    sources = [f"price_lag_{k}d" for k in LAGS] + ["h", "dow", "month", "holiday", "demand", "temp"]
+    cells = ", ".join(f"{{'i': {i}, 'x': CAST({c} AS DOUBLE)}}" for i, c in enumerate(sources))
+    labels = ", ".join(f"'{n}'" for n in names)
+    return f"""
+SELECT {_n('fold')} AS fold, {_n('n')} AS n_train, {_r('base')} AS base, [{labels}][i + 1] AS feature,
+       {_r('edge')} AS threshold, {_n('nl')} AS n_left, {_r('gain')} AS gain
+FROM (
+  WITH meta AS (
+    SELECT folds, greatest(1, least(365 // 112, CAST(ceil(folds / 64.0) AS BIGINT))) AS per
+    FROM (SELECT CAST(ceil((max(k) + 1 - 365) / 28.0) AS BIGINT) AS folds FROM hi_idx)),
+  spans AS (
+    SELECT f AS fold, 365 + 28 * f AS origin, f // per AS rng, 365 + 28 * per * (f // per) AS first_origin
+    FROM meta, range(0, 10000) r(f) WHERE f < folds),
+  long AS (SELECT k, price, c.i AS i, c.x AS x FROM (SELECT k, price, unnest([{cells}]) AS c FROM hi_idx)),
+  ranked AS (
+    SELECT rng, i, x, row_number() OVER (PARTITION BY rng, i ORDER BY x) AS rn, count(*) OVER (PARTITION BY rng, i) AS n
+    FROM (SELECT DISTINCT rng, first_origin FROM spans) s
+    JOIN long ON k < first_origin AND k >= first_origin - 365),
+  edges AS (SELECT DISTINCT rng, i, x FROM ranked JOIN range(1, 64) q(q) ON rn = CAST(ceil(n * q / 64.0) AS BIGINT)),
+  bases AS (
+    SELECT s.fold, s.rng, avg(m.price) AS base, count(*) AS n, s.origin
+    FROM spans s JOIN hi_idx m ON m.k < s.origin AND m.k >= s.origin - 365 GROUP BY ALL),
+  rows_ AS (
+    SELECT b.fold, b.rng, b.base, b.n, l.i, l.x, l.price - b.base AS rest
+    FROM bases b JOIN long l ON l.k < b.origin AND l.k >= b.origin - 365),
+  binned AS (
+    SELECT r.fold, r.base, r.n, r.i, e.x AS edge, count(*) AS c, sum(r.rest) AS s
+    FROM rows_ r ASOF LEFT JOIN edges e ON e.rng = r.rng AND e.i = r.i AND r.x <= e.x GROUP BY ALL),
+  cumulated AS (
+    SELECT *, sum(c) OVER w AS nl, sum(s) OVER w AS sl FROM binned
+    WINDOW w AS (PARTITION BY fold, i ORDER BY edge NULLS LAST)),
+  gains AS (
+    SELECT *, sl * sl / nl + sl * sl / (n - nl) AS gain FROM cumulated
+    WHERE edge IS NOT NULL AND nl >= 20 AND n - nl >= 20)
+  SELECT * FROM gains QUALIFY row_number() OVER (PARTITION BY fold ORDER BY round(gain, 6) DESC, i, edge) = 1)"""
+
+
 def twins() -> dict[str, str]:
     """Query name to DuckDB SQL."""
     out: dict[str, str] = {}
@@ -538,6 +588,9 @@ JOIN hi_idx m ON m.k >= f.since AND m.k < f.origin + 28 GROUP BY f.fold""", HI)
     out["forecast_naive_week"] = _q(f"SELECT {_FC_ROW} FROM hi_fc WHERE model = 'naive_week'", HI)
     out["forecast_seasonal_dow"] = _q(f"SELECT {_FC_ROW} FROM hi_fc WHERE model = 'seasonal_dow'", HI)
     out["walk_forward_forecasts"] = _q(f"SELECT {_FC_ROW} FROM hi_fc", HI)
+    out["late_point_forecasts"] = _q(f"SELECT {_FC_ROW} FROM late_fc", HI, f"""
+late_mat AS (SELECT * FROM hi_mat WHERE point <> 'R' OR d >= DATE '1997-06-01'),{_folds('late', 365, 28, 365)}""")
+    out["boosted_first_split"] = _q(_first_split(), HI)
     out["available_models_days"] = _q("""
 SELECT model, count(DISTINCT d) AS n_days, count(DISTINCT fold) AS n_folds, count(*) AS n_rows
 FROM hi_fc GROUP BY model""", HI)
