@@ -127,11 +127,25 @@ def test_throughput_cap_is_exact_with_burning_prices(case):
     assert np.minimum(r["charge"], r["discharge"]).max() == 0
     grid = LevelGrid(5, 1.0, unit)
     free = np.ones((5, 1), bool)
-    bound, _, disputed = grid._priced_mix(np.array(prices)[:, None], limit, (free, free))
-    assert r["profit"] <= bound + 1e-8
-    assert (disputed is not None) == (case >= 3)
-    if disputed is not None:
-        assert r["profit"] == pytest.approx(rough) and r["profit"] < bound - 0.1
+    bound, _, disputed = grid._priced_mix(np.array(prices)[:, None], np.array([limit]), (free, free))
+    assert r["profit"] <= bound[0] + 1e-8
+    assert (disputed[0] >= 0) == (case >= 3)
+    if disputed[0] >= 0:
+        assert r["profit"] == pytest.approx(rough) and r["profit"] < bound[0] - 0.1
+
+
+def test_capped_days_are_priced_together(monkeypatch):
+    """A batch gives each day what it gets alone, branching days among them, and prices few columns a day."""
+    rng = np.random.default_rng(5)
+    days = [np.array(p) for p, _ in CAPPED] + [rng.normal(20, 40, 5 + k % 3) for k in range(300)]
+    unit = replace(UNIT, round_trip_efficiency=0.25, cycles_per_day_cap=0.9)
+    alone = [solve_batch([d], unit)[0] for d in days]
+    columns, plain = [], LevelGrid.solve
+    monkeypatch.setattr(LevelGrid, "solve", lambda self, p, *more: columns.append(p.shape[1]) or plain(self, p, *more))
+    together = solve_batch(days, unit)
+    for one, other in zip(alone, together):
+        assert one[3] == pytest.approx(other[3], abs=1e-8) and np.allclose(one[4], other[4])
+    assert sum(columns) <= 10 * len(days) and len(columns) < 60
 
 
 def test_cap_on_positive_prices():

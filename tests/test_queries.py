@@ -20,9 +20,9 @@ def test_twin(spark, con, sf_dir, name):
     assert difference(QUERIES[name](spark, sf_dir), con, TWINS[name]) is None
 
 
-def test_only_fits_and_the_capped_search_lack_a_twin():
+def test_only_fits_lack_a_twin():
     assert set(TWINS) <= set(QUERIES)
-    assert set(QUERIES) - set(TWINS) == {"forecast_lear", "forecast_gbt", "dispatch_capped", "walk_forward_all_models",
+    assert set(QUERIES) - set(TWINS) == {"forecast_lear", "forecast_gbt", "walk_forward_all_models",
                                           "forecast_metrics_all_models", "backtest_boosted"}
 
 

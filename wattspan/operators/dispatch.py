@@ -126,62 +126,67 @@ class LevelGrid:
         charge, discharge = self.powers(moves)
         return (charge + discharge).sum(axis=0) * self.hours
 
-    def solve_capped(self, prices: np.ndarray, limit: float) -> np.ndarray:
-        """Exact schedule of one day, prices shaped (T, 1), that moves at most `limit` MWh.
+    def solve_capped(self, prices: np.ndarray, limits: np.ndarray) -> np.ndarray:
+        """Exact schedules, prices shaped (T, days), that move at most `limits` MWh a day.
 
         A price on throughput gives an upper bound and two schedules on either side of the limit;
         their mix meets the limit and reaches the bound unless it would charge and discharge at
         once in an interval where burning energy pays. Such an interval is split into its two
-        directions and the better half kept, so the search ends at the exact optimum.
+        directions and the better half kept, so the search ends at the exact optimum. Open halves
+        of all days wait in one queue and are priced together, a column each.
         """
-        shape = prices.shape
-        free = (np.ones(shape, bool), np.ones(shape, bool))
-        best_profit, best_moves = 0.0, np.zeros(shape)
-        todo = [free]
+        steps, days = prices.shape
+        best = np.zeros(days)
+        moves = np.zeros(prices.shape)
+        every = np.ones(steps, bool)
+        todo = [(day, every, every) for day in range(days)]
         while todo:
-            masks = todo.pop()
-            bound, mixed, clash = self._priced_mix(prices, limit, masks)
-            value = float(self.profit(prices, mixed)[0])
-            if self.throughput(mixed)[0] <= limit + 1e-9 and value > best_profit + TIE:
-                best_profit, best_moves = value, mixed
-            if clash is None or bound <= best_profit + 1e-8:
-                continue
-            for side in (0, 1):
-                halves = (masks[0].copy(), masks[1].copy())
-                halves[side][clash] = False
-                todo.append(halves)
-        return best_moves
-
-    def _priced_mix(self, prices, limit, masks):
-        """Upper bound, the mix of the two schedules at the bound, and an interval they dispute."""
-
-        def at(price: float):
-            moves = self.solve(prices, price, *masks)
-            return moves, float(self.profit(prices, moves)[0]), float(self.throughput(moves)[0])
-
-        high = at(0.0)
-        if high[2] <= limit + 1e-9:
-            return high[1], high[0], None
-        low = (np.zeros(prices.shape), 0.0, 0.0)
-        while True:  # each round keeps a schedule of new throughput between the two, of which there are finitely many
-            price = (high[1] - low[1]) / (high[2] - low[2])
-            mid = at(price)
-            gain = (mid[1] - price * mid[2]) - (low[1] - price * low[2])
-            if gain <= 1e-9 or mid[2] in (high[2], low[2]):
-                break
-            if not low[2] < mid[2] < high[2]:
+            batch, todo = todo[-_ROWS_PER_SOLVE:], todo[:-_ROWS_PER_SOLVE]
+            of = np.array([day for day, _, _ in batch])
+            masks = np.stack([m for _, m, _ in batch], 1), np.stack([m for _, _, m in batch], 1)
+            bound, mixed, clash = self._priced_mix(prices[:, of], limits[of], masks)
+            value, moved = self.profit(prices[:, of], mixed), self.throughput(mixed)
+            for k, day in enumerate(of):
+                if moved[k] <= limits[day] + 1e-9 and value[k] > best[day] + TIE:
+                    best[day], moves[:, day] = value[k], mixed[:, k]
+            for k, day in enumerate(of):
+                if clash[k] >= 0 and bound[k] > best[day] + 1e-8:
+                    for side in (0, 1):
+                        halves = [masks[0][:, k].copy(), masks[1][:, k].copy()]
+                        halves[side][clash[k]] = False
+                        todo.append((day, *halves))
+        return moves
+
+    def _priced_mix(self, prices, limits, masks):
+        """Per column: an upper bound, the mix of the two schedules at the bound, and an interval they
+        dispute (-1: none)."""
+        def at(price, columns):
+            moved = self.solve(prices[:, columns], price, masks[0][:, columns], masks[1][:, columns])
+            return moved, self.profit(prices[:, columns], moved), self.throughput(moved)
+
+        columns = np.arange(prices.shape[1])
+        high = at(np.zeros(len(columns)), columns)
+        low = np.zeros(prices.shape), np.zeros(len(columns)), np.zeros(len(columns))
+        free = high[2] <= limits + 1e-9
+        open_ = columns[~free]
+        while len(open_):  # each round keeps a schedule of new throughput between the two, of which there are finitely many
+            price = (high[1][open_] - low[1][open_]) / (high[2][open_] - low[2][open_])
+            mid = at(price, open_)
+            gain = (mid[1] - price * mid[2]) - (low[1][open_] - price * low[2][open_])
+            met = (gain <= 1e-9) | (mid[2] == high[2][open_]) | (mid[2] == low[2][open_])
+            if not (met | (low[2][open_] < mid[2]) & (mid[2] < high[2][open_])).all():
                 raise RuntimeError("the search for a throughput price left its bracket")
-            if mid[2] > limit:
-                high = mid
-            else:
-                low = mid
-        share = (limit - low[2]) / (high[2] - low[2])
+            above = mid[2] > limits[open_]
+            for side, chosen in ((high, ~met & above), (low, ~met & ~above)):
+                side[0][:, open_[chosen]] = mid[0][:, chosen]
+                side[1][open_[chosen]], side[2][open_[chosen]] = mid[1][chosen], mid[2][chosen]
+            open_ = open_[~met]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            share = np.where(free, 1.0, (limits - low[2]) / (high[2] - low[2]))
         bound = low[1] + share * (high[1] - low[1])
         mixed = low[0] + share * (high[0] - low[0])
-        disputed = (low[0] * high[0] < -1e-12) & (self.profit(prices, mixed)[0] < bound - 1e-8)
-        clash = None
-        if disputed.any():
-            clash = int(np.argmax(np.abs(low[0] - high[0])[:, 0] * disputed[:, 0]))
+        disputed = (low[0] * high[0] < -1e-12) & (self.profit(prices, mixed) < bound - 1e-8)
+        clash = np.where(disputed.any(axis=0), np.argmax(np.abs(low[0] - high[0]) * disputed, axis=0), -1)
         return bound, mixed, clash
 
 
@@ -217,9 +222,8 @@ def solve_batch(vectors: list[np.ndarray], battery: Battery, hours: float = 1.0)
             if battery.cycles_per_day_cap is not None:
                 limits = battery.cycles_per_day_cap * lengths[chunk] * hours / 24.0 * 2.0 * grid.capacity
                 over = np.flatnonzero(grid.throughput(moves) > limits + 1e-9)
-                for k in over:
-                    n = lengths[chunk[k]]
-                    moves[:n, k] = grid.solve_capped(prices[:n, k : k + 1], limits[k])[:, 0]
+                if len(over):
+                    moves[:, over] = grid.solve_capped(prices[:, over], limits[over])
             for m, row in zip(chunk, _schedule_rows(grid, prices, moves, lengths[chunk])):
                 rows[m] = row
     return rows

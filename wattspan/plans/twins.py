@@ -249,6 +249,52 @@ def _dispatch(name: str, vectors: str, steps: int, variants: list[tuple[float, f
   WHERE b.t > 0)"""
 
 
+def _capped(name: str, vectors: str, steps: int, cycles: float, rounds: int) -> str:
+    """CTE {name}_best(gid, profit, moved): the best schedules that move at most `cycles` a day.
+
+    The price on throughput is bracketed: between a schedule within the limit and one beyond it, the next
+    price is the slope of the line through both; once no schedule lies above that line, their mix at the
+    limit is the optimum. Needs the CTEs of `_dispatch` for one variant without wear.
+    """
+    def program(k: int, price: str, source: str) -> str:
+        gain = f"d.v + x.p * (m.dis - m.ch) - (d.price + 1e-7) * (m.ch + m.dis)"
+        return f"""
+{name}_p{k}(gid, price, t, s, v, moved, profit) AS (
+  SELECT gid, CAST({price} AS DOUBLE), CAST(0 AS BIGINT), {name}_start.s, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+  FROM {source}, {name}_start
+  UNION ALL
+  SELECT d.gid, d.price, d.t + 1, m.s1, max({gain}), arg_max(d.moved + m.ch + m.dis, {gain}),
+         arg_max(d.profit + x.p * (m.dis - m.ch), {gain})
+  FROM {name}_p{k} d JOIN {vectors} x ON x.gid = d.gid AND x.t = d.t + 1 JOIN {name}_move m ON m.s0 = d.s
+  GROUP BY d.gid, d.price, d.t, m.s1),
+{name}_m{k} AS (
+  SELECT p.gid, p.moved, p.profit FROM {name}_p{k} p
+  JOIN {name}_len l ON l.gid = p.gid AND l.n = p.t JOIN {name}_start b ON b.s = p.s)"""
+
+    parts = [program(0, "0", f"{name}_len"), f"""
+{name}_b0 AS MATERIALIZED (
+  SELECT m.gid, {cycles} * l.n / 24.0 * 2 * 2.0 AS lim, CAST(0 AS DOUBLE) AS p0, CAST(0 AS DOUBLE) AS t0,
+         m.profit AS p1, m.moved AS t1, m.moved <= {cycles} * l.n / 24.0 * 2 * 2.0 + 1e-9 AS done
+  FROM {name}_m0 m JOIN {name}_len l USING (gid))"""]
+    for k in range(1, rounds + 1):
+        before = f"{name}_b{k - 1}"
+        parts += [program(k, "(p1 - p0) / (t1 - t0)", f"(SELECT * FROM {before} WHERE NOT done)"), f"""
+{name}_b{k} AS MATERIALIZED (
+  SELECT gid, lim, CASE WHEN move AND pm IS NOT NULL AND tm <= lim THEN pm ELSE p0 END AS p0,
+         CASE WHEN move AND tm <= lim THEN tm ELSE t0 END AS t0,
+         CASE WHEN move AND tm > lim THEN pm ELSE p1 END AS p1, CASE WHEN move AND tm > lim THEN tm ELSE t1 END AS t1, NOT move AS done
+  FROM (SELECT b.*, m.profit AS pm, m.moved AS tm,
+               NOT b.done AND m.profit - p0 - (p1 - p0) / (t1 - t0) * (m.moved - t0) > 1e-6
+               AND abs(m.moved - t0) > 1e-9 AND abs(m.moved - t1) > 1e-9 AS move
+        FROM {before} b LEFT JOIN {name}_m{k} m USING (gid)))"""]
+    last = f"{name}_b{rounds}"
+    parts.append(f"""
+{name}_best AS (
+  SELECT gid, CASE WHEN t1 <= lim + 1e-9 THEN p1 ELSE p0 + (lim - t0) / (t1 - t0) * (p1 - p0) END AS profit,
+         CASE WHEN t1 <= lim + 1e-9 THEN t1 ELSE lim END AS moved, done FROM {last})""")
+    return ",".join(parts)
+
+
 def _backtest(name: str, forecasts: str, variants: list[tuple[float, float]], steps: int = 4) -> str:
     """CTEs {name}_bt: the two scenario rows per point, day and variant."""
     return f"""
@@ -629,6 +675,11 @@ SELECT x.point AS settlement_point, {_d('x.d')} AS delivery_date, count(*) AS n_
        {_r('sum(x.p * (q.dis - q.ch) - q.wear * q.dis)')} AS profit_usd,
        {_r('sum(q.ch + q.dis)')} AS throughput_mwh, {_r('sum(q.ch + q.dis) / 4')} AS equiv_full_cycles
 FROM ce_plan q JOIN cv x ON x.gid = q.gid AND x.t = q.t GROUP BY x.point, x.d""", EV, ceiling)
+    out["dispatch_capped"] = _q(f"""
+SELECT x.point AS settlement_point, {_d('x.d')} AS delivery_date, count(*) AS n_hours,
+       {_r('any_value(b.profit)')} AS profit_usd, {_r('any_value(b.moved)')} AS throughput_mwh,
+       {_r('any_value(b.moved) / 4')} AS equiv_full_cycles
+FROM ce_best b JOIN cv x ON x.gid = b.gid GROUP BY x.point, x.d""", EV, ceiling, _capped("ce", "cv", 24, 0.5, 8))
     out["settle_schedule"] = _q(f"""
 SELECT point AS settlement_point, {_d('d')} AS delivery_date,
        {_r('sum(price * (dis - ch)) - 2.0 * sum(dis)')} AS profit_usd, {_r('sum(ch + dis) / 4')} AS equiv_full_cycles
