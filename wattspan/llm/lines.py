@@ -9,8 +9,12 @@ bit mask of reachable diagonals for each number of edits. Linked lines form clas
 components; the document with the least doc_id keeps the class's first line, all other lines go.
 
 Groups of near lines are united through one head per key before pairs are formed, so a group yields
-about one comparison per line and key; only lines that share a key without being linked are paired, on
-crowded keys only where the parities of their characters allow it.
+about one comparison per line and key; only lines that share a key without being linked are paired. On
+crowded keys a pair must agree twice: on the key and on one of each line's rarest character 4-grams
+(prefix filter). An edit touches four 4-grams, so of lines within e edits each misses at most 4e of the
+other's, and the rarest one they have in common is among the 4e + 1 rarest of both, in any order that is
+the same for all lines; here the order is by counts in a table of fixed size. Lines of one template
+therefore meet only where their variable parts do. The parities of characters are compared before texts.
 
 Spark SQL functions only. Only hashes are shuffled, until texts meet their decisions by doc_id. A line
 that fills more than 1 / `HOT_SHARE` of all line occurrences enters the join once, through a broadcast
@@ -37,8 +41,10 @@ TWO_EDITS_FROM = 20
 MAX_EDITS = 2
 HOT_SHARE = 50_000
 _WORDS = 1 << 16
-#: Keys with more entries compare character parities before they form pairs.
+#: Keys with more entries ask for a second agreement before they form pairs.
 CROWD = 16
+GRAM = 4
+_GRAM_BITS = 16
 
 
 def edits(length: int) -> int:
@@ -175,6 +181,37 @@ def parity(line: Column) -> Column:
     return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), flip)
 
 
+def _grams(line: Column) -> Column:
+    """Hashes of the line's distinct character 4-grams."""
+    return F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(line) - GRAM + 1), lambda i: F.xxhash64(F.substring(line, i, F.lit(GRAM)))))
+
+
+def _gram_slot(gram: Column) -> Column:
+    return gram.bitwiseAND((1 << _GRAM_BITS) - 1).cast("int")
+
+
+def rare_grams(lines: DataFrame) -> DataFrame:
+    """(of, parity, grams): of each line (h, line) the rarest 4-grams, one more than its edits can touch.
+
+    Rarity is counted by the low bits of the grams' hashes, a table of 2^16 numbers whatever the lines.
+    """
+    own = lines.select("h", "line", _grams(F.col("line")).alias("grams"))
+    counts = (own.select(F.explode("grams").alias("gram")).groupBy(_gram_slot(F.col("gram")).alias("slot"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    every = lines.sparkSession.range(1 << _GRAM_BITS).select(F.col("id").cast("int").alias("slot"))
+    table = every.join(counts, "slot", "left").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("slot", F.coalesce("n", F.lit(0)).alias("n")))), lambda c: c["n"]))
+
+    def rarest(by_slot: Column) -> Column:
+        allowed = F.when(F.length("line") >= TWO_EDITS_FROM, MAX_EDITS).otherwise(1)
+        ranked = F.sort_array(F.transform("grams", lambda g: F.struct(F.get(by_slot, _gram_slot(g)).alias("n"), g.alias("g"))))
+        return F.transform(F.slice(ranked, F.lit(1), GRAM * allowed + 1), lambda r: r["g"])
+
+    return own.withColumn("by_slot", table.scalar()).select(
+        F.col("h").alias("of"), parity(F.col("line")).alias("parity"), let(F.col("by_slot"), rarest).alias("grams"))
+
+
 def _wanted(hashes: DataFrame) -> DataFrame:
     """One row: a bit table of `_WORDS` 64-bit words in which every given hash has its bit."""
     slot = F.shiftright("h", 7).bitwiseAND(_WORDS - 1).cast("int")
@@ -208,15 +245,19 @@ def roots_of_near(lines: DataFrame, hot: DataFrame) -> DataFrame:
 
     near_heads = verified(_ordered(shared, F.col("h"), F.col("head")), "lines-heads")
     united = components(near_heads, "a", "b")
-    crowded = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("key")
-    signed = texts.join(shared.join(crowded, "key").select("h").distinct(), "h", "left_semi").select(
-        F.col("h").alias("of"), parity(F.col("line")).alias("parity"))
+    rooted = materialise(shared.join(united, shared["h"] == united["u"], "left").select(
+        "key", "h", "index", F.coalesce("root", "h").alias("root")), "lines-rooted")
+    apart = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where(
+        "low != high").select("key", (F.col("n") > CROWD).alias("crowded"))
+    open_ = rooted.join(apart, "key")
+    signed = rare_grams(texts.join(open_.where("crowded").select("h").distinct(), "h", "left_semi"))
+    grams = F.when(F.col("crowded"), F.col("grams")).otherwise(F.array(F.lit(0).cast("long")))
     placed = materialise(
-        shared.join(united, shared["h"] == united["u"], "left").join(signed, shared["h"] == signed["of"], "left")
-        .select("key", "h", "index", F.coalesce("root", "h").alias("root"), "parity"), "lines-placed")
-    apart = placed.alias("p").join(placed.where("index").alias("i"), F.expr(
-        f"p.key = i.key AND p.root != i.root AND coalesce(bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}, true)"))
-    rest = verified(_ordered(apart, F.col("p.h"), F.col("i.h")), "lines-rest")
+        open_.join(signed, open_["h"] == signed["of"], "left")
+        .select("key", "h", "index", "root", "parity", F.explode(grams).alias("gram")), "lines-placed")
+    pairs = placed.alias("p").join(placed.where("index").alias("i"), F.expr(
+        f"p.key = i.key AND p.gram = i.gram AND p.root != i.root AND coalesce(bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}, true)"))
+    rest = verified(_ordered(pairs, F.col("p.h"), F.col("i.h")), "lines-rest")
     return components(near_heads.union(rest), "a", "b")
 
 
