@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import nearcopies
-from .common import whole_text
+from .common import unused, whole_text
 from .graph import components
 
 SHINGLE = 4
@@ -222,8 +221,11 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the least doc_id of every group of near copies, by the pipeline's own measure.
+    """The document with the least doc_id of every component; rows of one doc_id stay or go together.
 
-    The fingerprints above serve `query` alone: four bits hold few of the pairs at similarity 0.8.
+    Rows with NULL doc_id have no place in the order and stay.
     """
-    return nearcopies.keep_one(docs)
+    key = unused(docs, "_doc_id")
+    prints = materialise(fingerprints(docs, "doc_id"), "simhash")
+    gone = prints.join(groups(prints), "fp").where("row_key != component_id").select(F.col("row_key").alias(key)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[key], "left_anti").select(*docs.columns)
