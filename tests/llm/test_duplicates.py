@@ -194,7 +194,8 @@ def planted(seed=3, pairs=20):
 
 def test_passages_find_planted_pairs(spark):
     docs = planted()
-    rows = passages.query(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = passages.links(frame).collect()
     linked = {(r.doc_id, r.other_doc_id) for r in rows}
     assert {(2 * k + 1, 2 * k) for k in range(20)} <= linked and (900, 0) in linked
     assert not {901, 902} & {x for pair in linked for x in pair}
@@ -203,6 +204,30 @@ def test_passages_find_planted_pairs(spark):
         a, b = words[r.doc_id][r.start:r.end], words[r.other_doc_id][r.other_start:r.other_end]
         x, y = ({tuple(z[i:i + 5]) for i in range(len(z) - 4)} for z in (a, b))
         assert len(a) >= 50 and abs(len(x & y) / len(x | y) - r.similarity) < 1e-9 and r.similarity >= 0.8
+    classes = {r.doc_id: r for r in passages.query(frame).collect()}
+    assert set(classes) == set(words) and all(classes[2 * k + 1].class_id == classes[2 * k].class_id for k in range(20))
+    assert (classes[900].class_id, classes[900].n_copies, classes[901].class_id, classes[901].n_links) == (0, 1, 901, 0)
+    assert classes[3].n_links >= 1
+
+
+def test_passages_link_variants_of_a_template(spark):
+    """Texts whose chains are full of others that share shingles, but not the passage: links by brute force."""
+    random.seed(13)
+    base = [f"t{i}" for i in range(60)]
+    docs = []
+    for k in range(60):
+        own = list(base)
+        for at in random.sample(range(60), 2 + k % 3 * 4):
+            own[at] = f"v{k}_{at}"
+        for j in range(2):
+            docs.append((2 * k + j, " ".join([f"a{k}_{j}_{i}" for i in range(40)] + own + [f"b{k}_{j}_{i}" for i in range(40)])))
+    sets = [[frozenset(tuple(w[i:i + 5]) for i in range(s, s + n - 4)) for s, n in ((40, 60),)] for w in (t.split() for _, t in docs)]
+    want = roots(range(len(docs)), [(i, j) for j in range(len(docs)) for i in range(j)
+                                    if len(sets[i][0] & sets[j][0]) >= 0.8 * len(sets[i][0] | sets[j][0])])
+    got = {r.doc_id: r.class_id for r in passages.query(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    pairs = [(i, j) for j in range(len(docs)) for i in range(j) if want[i] == want[j]]
+    joined = sum(got[i] == got[j] for i, j in pairs)
+    assert len(pairs) >= 60 and joined >= 0.95 * len(pairs)
 
 
 def test_passages_join_all_exact_repeats(sample):
@@ -211,12 +236,13 @@ def test_passages_join_all_exact_repeats(sample):
     for key, words in docs.items():
         for i in range(len(words) - 49):
             linked.append((key, seen.setdefault(tuple(words[i:i + 50]), key)))
-    got = roots(docs, [(r.doc_id, r.other_doc_id) for r in passages.query(sample).collect()])
+    got = roots(docs, [(r.doc_id, r.other_doc_id) for r in passages.links(sample).collect()])
     assert all(got[a] == got[b] for a, b in linked)
 
 
 def test_passage_edges(awkward):
-    assert {(r.doc_id, r.other_doc_id) for r in passages.query(awkward).collect()} == set()
+    assert {(r.doc_id, r.other_doc_id) for r in passages.links(awkward).collect()} == set()
+    assert {(r.doc_id, r.class_id) for r in passages.query(awkward).collect()} == {(i, i) for i in (1, 2, 3, 5, 6, 7, 8)}
     assert passages.query(awkward.limit(0)).count() == 0
 
 
