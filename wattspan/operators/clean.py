@@ -131,12 +131,25 @@ def day_ahead_vintages(raw: DataFrame, config: Config) -> DataFrame:
     return rows.where(F.col("publish").isNull() | (F.col("publish") <= cutoff))
 
 
+#: Later than any publish time: where an unknown one ranks.
+UNDATED = "9999-12-31 23:59:59.999999"
+
+
 def latest_vintage(vintages: DataFrame) -> DataFrame:
-    """Newest vintage of each interval; an unknown publish time ranks newest, then last arrival."""
-    arrival = [c for c in vintages.columns if c in ("arrival", "retrieved_at_utc")]
-    ranked = vintages.withColumn("undated", F.col("publish").isNull())
-    order = ["undated", "publish", *arrival]
-    return dedup(ranked, [S.INTERVAL], order, keep="last", carry=["publish", S.TEMP])
+    """Newest vintage of each interval; an unknown publish time ranks newest, then last arrival.
+
+    Landed rows have a unique arrival number. Then the pick takes two steps with one primitive key each,
+    the last arrival of every publish time and the newest publish time of those, so that both reduce in
+    hash tables before they shuffle.
+    """
+    if "arrival" not in vintages.columns:
+        ranked = vintages.withColumn("undated", F.col("publish").isNull())
+        order = ["undated", "publish", *[c for c in vintages.columns if c == "retrieved_at_utc"]]
+        return dedup(ranked, [S.INTERVAL], order, keep="last", carry=["publish", S.TEMP])
+    rank = F.coalesce("publish", F.lit(UNDATED).cast("timestamp_ntz"))
+    carried = ["publish", S.TEMP]
+    last = vintages.groupBy(S.INTERVAL, rank.alias("_rank")).agg(*[F.max_by(c, "arrival").alias(c) for c in carried])
+    return last.groupBy(S.INTERVAL).agg(*[F.max_by(c, "_rank").alias(c) for c in carried])
 
 
 def clean_weather(raw: DataFrame, config: Config) -> DataFrame:

@@ -20,6 +20,7 @@ from .folds import DAY_IDX, first_origin, with_folds
 
 # The lags, in days, of the classic LEAR design.
 LEAR_LAGS = (1, 2, 3, 7)
+RANGE_KEYS = [S.POINT, S.HOUR, "_range"]
 
 
 def numeric_columns(model: Model) -> list[str]:
@@ -63,13 +64,13 @@ def lasso_knots(gram: np.ndarray, corr: np.ndarray) -> list[np.ndarray]:
         slope = gram @ direction
         idle = usable.copy()
         idle[active] = False
-        if gone is not None:
-            idle[gone] = False
         with np.errstate(divide="ignore", invalid="ignore"):
             reach = np.stack([(level - residual) / (1.0 - slope), (level + residual) / (1.0 + slope)])
             leave = -beta / direction
         reach[:, ~idle] = np.inf
         reach[~(reach > -tiny)] = np.inf
+        if gone is not None:  # it stands at the level it left, and may only come back from the other side
+            reach[0 if residual[gone] > 0 else 1, gone] = np.inf
         join = np.maximum(reach.min(axis=0), 0.0)
         leave[(direction == 0) | ~(leave > 0)] = np.inf
         step = min(float(join.min()), float(leave.min()), level)
@@ -107,8 +108,11 @@ def aic_lasso(gram: np.ndarray, corr: np.ndarray, total: float, rows: float) ->
     return chosen
 
 
-def _fit_range(model: Model, n_numeric: int):
-    """Build the grouped function: fits every fold of one day range and predicts its test days."""
+def _fit_range(model: Model, n_numeric: int, coefficients: bool = False):
+    """Build the grouped function: fits every fold of one day range and predicts its test days.
+
+    With `coefficients` it returns the fitted models instead, a row for each fold.
+    """
     start, step, window = first_origin(model), model.recalibrate_every_days, model.window_days
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -122,7 +126,7 @@ def _fit_range(model: Model, n_numeric: int):
             [np.zeros((1, z.shape[1], z.shape[1])), np.cumsum(z[:, :, None] * z[:, None, :], axis=0)]
         )
         out = rows[rows["is_test"]]
-        predicted = np.full(len(out), np.nan)
+        predicted, fitted = np.full(len(out), np.nan), []
         folds = out[S.FOLD].to_numpy()
         for fold in np.unique(folds):
             origin = start + int(fold) * step
@@ -138,16 +142,22 @@ def _fit_range(model: Model, n_numeric: int):
             unit[:n_numeric] = np.where(deviation > 1e-9, deviation, 1.0)
             gram = centred[:-1, :-1] / np.outer(unit, unit)
             beta = aic_lasso(gram, centred[:-1, -1] / unit, centred[-1, -1], count)
+            if coefficients:
+                fitted.append((rows[S.POINT].iloc[0], rows[S.HOUR].iloc[0], fold, y0 + mean[-1],
+                               x0 + mean[1:-1] * spread, spread * unit, beta))
+                continue
             mask = folds == fold
             test = (np.stack(out["x"].to_numpy()[mask]) - x0) / spread
             predicted[mask] = y0 + mean[-1] + ((test - mean[1:-1]) / unit) @ beta
+        if coefficients:
+            return pd.DataFrame(fitted, columns=[S.POINT, S.HOUR, S.FOLD, "level", "centre", "scale", "beta"])
         return out.drop(columns=["x", "is_test"]).assign(predicted=predicted)
 
     return fit
 
 
-def lear(matrix: DataFrame, model: Model, folds_per_range: int | None = None) -> DataFrame:
-    """Forecasts of every fold; a range covers `folds_per_range` folds (default: half a window)."""
+def _ranges(matrix: DataFrame, model: Model, folds_per_range: int | None = None) -> DataFrame:
+    """Design rows per (point, hour, range); a range covers `folds_per_range` folds (default: half a window)."""
     start, step = first_origin(model), model.recalibrate_every_days
     per = folds_per_range or max(1, model.window_days // (2 * step))
     span = per * step
@@ -171,12 +181,52 @@ def lear(matrix: DataFrame, model: Model, folds_per_range: int | None = None) ->
     )
     tested = F.col(S.FOLD).isNotNull() & (F.col("_own") == F.col("_range"))
     ranged = ranged.withColumn("is_test", tested).drop("_own")
-    keys = [S.POINT, S.HOUR, "_range"]
-    spread = ranged.repartition(task_count(matrix.sparkSession), *keys)
+    return ranged.repartition(task_count(matrix.sparkSession), *RANGE_KEYS)
+
+
+def lear(matrix: DataFrame, model: Model, folds_per_range: int | None = None) -> DataFrame:
+    """Forecasts of every fold."""
+    spread = _ranges(matrix, model, folds_per_range)
     kept = [f for f in spread.schema.fields if f.name not in ("x", "is_test")]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
-    fitted = spread.groupBy(*keys).applyInPandas(
+    fitted = spread.groupBy(*RANGE_KEYS).applyInPandas(
         _fit_range(model, len(numeric_columns(model))), f"{schema}, predicted double"
     )
     predicted = F.when(~F.isnan("predicted"), F.col("predicted"))
     return as_forecast(fitted.withColumnRenamed("y", S.PRICE), S.LEAR, predicted)
+
+
+def coefficients(matrix: DataFrame, model: Model) -> DataFrame:
+    """The fitted model of every point, hour and fold: level + sum of beta * (x - centre) / scale."""
+    return _ranges(matrix, model).groupBy(*RANGE_KEYS).applyInPandas(
+        _fit_range(model, len(numeric_columns(model)), coefficients=True),
+        f"{S.POINT} string, {S.HOUR} int, {S.FOLD} int, level double, centre array<double>, scale array<double>, beta array<double>",
+    )
+
+
+def optimality(matrix: DataFrame, fitted: DataFrame, model: Model) -> DataFrame:
+    """Whether every fitted model meets the lasso's conditions on its own training rows.
+
+    At a solution the products g of the scaled columns with the residuals have one level: |g| stands at it,
+    with the sign of beta, where beta isn't zero, and not above it elsewhere. The products are sums over the
+    training rows, from one aggregate with a column each.
+    """
+    start, step = first_origin(model), model.recalibrate_every_days
+    rows, idx = with_folds(matrix, model), F.col(DAY_IDX)
+    first = F.greatest(F.floor((idx - start) / step).cast("int") + 1, F.lit(0))
+    last = F.floor((idx - start + model.window_days) / step).cast("int")
+    trains = rows.select(S.POINT, S.HOUR, design_row(model).alias("x"), F.col(S.PRICE).alias("y"),
+                         F.explode(F.when(first <= last, F.sequence(first, last))).alias(S.FOLD))
+    z = F.transform("x", lambda v, j: (v - F.get("centre", j)) / F.get("scale", j))
+    fit = F.aggregate(F.zip_with("z", "beta", lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+    width = len(numeric_columns(model)) + 1 + 6 + 11
+    met = trains.join(fitted, [S.POINT, S.HOUR, S.FOLD]).withColumn("z", z).withColumn("rest", F.col("y") - F.col("level") - fit)
+    totals = met.groupBy(S.POINT, S.HOUR, S.FOLD).agg(
+        F.count(F.lit(1)).alias("n_train"), F.first("beta").alias("beta"),
+        F.sqrt(F.count(F.lit(1)) * F.sum((F.col("y") - F.col("level")) ** 2)).alias("size"),
+        F.array(*[F.sum(F.get("z", F.lit(j)) * F.col("rest")) for j in range(width)]).alias("g"))
+    level, slack = F.array_max(F.transform("g", F.abs)), F.col("size") * 1e-7 + 1e-9
+    active = F.forall(F.zip_with("g", "beta", lambda g, b: F.when(b != 0, F.abs(g - F.signum(b) * F.col("at")) <= F.col("slack")).otherwise(True)), lambda ok: ok)
+    still = F.exists("beta", lambda b: b != 0)
+    return totals.withColumn("at", level).withColumn("slack", slack).select(
+        S.POINT, S.HOUR, S.FOLD, "n_train", active.alias("meets"), still.alias("has_active"))

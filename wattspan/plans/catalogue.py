@@ -20,6 +20,7 @@ from ..operators import backtest as B
 from ..operators import clean, features, folds, forecast, quality, serving, summaries
 from ..operators.baselines import naive_week, seasonal_dow
 from ..operators.boosted import boosted, first_splits
+from ..operators import lear as lear_models
 from ..operators.lear import lear
 from ..session import materialise, scratch_path
 from ..sources import landing, tables
@@ -335,6 +336,13 @@ def _all_models(spark: SparkSession, sf: str) -> DataFrame:
     return materialise(forecast.walk_forward(_stored_matrix(spark, sf), HISTORY.model), "forecasts")
 
 
+def lear_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Lasso conditions of every fitted LEAR model, from its stored coefficients and its training rows."""
+    matrix = _stored_matrix(spark, sf)
+    fitted = materialise(lear_models.coefficients(matrix, HISTORY.model), "lear")
+    return lear_models.optimality(matrix, fitted, HISTORY.model).drop("has_active")
+
+
 def backtest_boosted(spark: SparkSession, sf: str) -> DataFrame:
     """The daily backtest driven by the default model."""
     driven = materialise(boosted(_stored_matrix(spark, sf), HISTORY.model), "forecasts")
@@ -570,6 +578,7 @@ CATALOGUE: dict[str, Query] = {
     "forecast_naive_week": _on_history(naive_week),
     "forecast_seasonal_dow": _on_history(seasonal_dow),
     "forecast_lear": _on_history(lear),
+    "lear_optimality": lear_optimality,
     "forecast_gbt": _on_history(boosted),
     "boosted_first_split": _on_history(first_splits),
     "late_point_forecasts": late_point_forecasts,
