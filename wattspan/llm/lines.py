@@ -9,12 +9,11 @@ bit mask of reachable diagonals for each number of edits. Linked lines form clas
 components; the document with the least doc_id keeps the class's first line, all other lines go.
 
 Groups of near lines are united through one head per key before pairs are formed, so a group yields
-about one comparison per line and key; only lines that share a key without being linked are paired. On
-crowded keys a pair must agree twice: on the key and on one of each line's rarest character 4-grams
-(prefix filter). An edit touches four 4-grams, so of lines within e edits each misses at most 4e of the
-other's, and the rarest one they have in common is among the 4e + 1 rarest of both, in any order that is
-the same for all lines; here the order is by counts in a table of fixed size. Lines of one template
-therefore meet only where their variable parts do. The parities of characters are compared before texts.
+about one comparison per line and key; only lines that share a key without being linked are paired. Lines
+of crowded keys ask for a second agreement: of `PIECES` pieces of a line two edits touch one or two, so all
+others stand unchanged in a linked line, before the first touched piece at their place, between the two
+shifted by at most one, behind the last shifted by the lengths' difference. The lines meet by the hash of
+all the untouched pieces together, and by the parities of their characters before texts are compared.
 
 Spark SQL functions only. Only hashes are shuffled, until texts meet their decisions by doc_id. A line
 that fills more than 1 / `HOT_SHARE` of all line occurrences enters the join once, through a broadcast
@@ -43,8 +42,7 @@ HOT_SHARE = 50_000
 _WORDS = 1 << 16
 #: Keys with more entries ask for a second agreement before they form pairs.
 CROWD = 16
-GRAM = 4
-_GRAM_BITS = 16
+PIECES = 4
 
 
 def edits(length: int) -> int:
@@ -181,35 +179,30 @@ def parity(line: Column) -> Column:
     return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), flip)
 
 
-def _grams(line: Column) -> Column:
-    """Hashes of the line's distinct character 4-grams."""
-    return F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length(line) - GRAM + 1), lambda i: F.xxhash64(F.substring(line, i, F.lit(GRAM)))))
+def piece_entries(line: Column, length: Column) -> Column:
+    """Keys of a line's untouched pieces, for every choice of one or two touched ones, with index flags.
 
-
-def _gram_slot(gram: Column) -> Column:
-    return gram.bitwiseAND((1 << _GRAM_BITS) - 1).cast("int")
-
-
-def rare_grams(lines: DataFrame) -> DataFrame:
-    """(of, parity, grams): of each line (h, line) the rarest 4-grams, one more than its edits can touch.
-
-    Rarity is counted by the low bits of the grams' hashes, a table of 2^16 numbers whatever the lines.
+    `first` and `last` tell the touched pieces: where one of them is equal in both lines, the lines also
+    meet under the choice without it, and need not meet here.
+    Pieces are cut for the indexed line's length; a probing line is up to `MAX_EDITS` longer.
     """
-    own = lines.select("h", "line", _grams(F.col("line")).alias("grams"))
-    counts = (own.select(F.explode("grams").alias("gram")).groupBy(_gram_slot(F.col("gram")).alias("slot"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    every = lines.sparkSession.range(1 << _GRAM_BITS).select(F.col("id").cast("int").alias("slot"))
-    table = every.join(counts, "slot", "left").agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("slot", F.coalesce("n", F.lit(0)).alias("n")))), lambda c: c["n"]))
-
-    def rarest(by_slot: Column) -> Column:
-        allowed = F.when(F.length("line") >= TWO_EDITS_FROM, MAX_EDITS).otherwise(1)
-        ranked = F.sort_array(F.transform("grams", lambda g: F.struct(F.get(by_slot, _gram_slot(g)).alias("n"), g.alias("g"))))
-        return F.transform(F.slice(ranked, F.lit(1), GRAM * allowed + 1), lambda r: r["g"])
-
-    return own.withColumn("by_slot", table.scalar()).select(
-        F.col("h").alias("of"), parity(F.col("line")).alias("parity"), let(F.col("by_slot"), rarest).alias("grams"))
+    found = []
+    for longer in range(MAX_EDITS + 1):
+        other = length - longer
+        cut = [F.floor(other * k / PIECES).cast("int") for k in range(PIECES + 1)]
+        for a in range(PIECES):
+            head = F.substring(line, F.lit(1), cut[a])
+            for b in range(a, PIECES):
+                tail = F.substring(line, cut[b + 1] + longer + 1, other - cut[b + 1])
+                for shift in [0] if a == b else [s for s in (-1, 0, 1) if abs(longer - s) <= 1]:
+                    middle = F.lit("") if a == b else F.substring(line, cut[a + 1] + shift + 1, cut[b] - cut[a + 1])
+                    first = F.substring(line, cut[a] + 1, cut[a + 1] - cut[a] + (longer if a == b else shift))
+                    last = F.lit("") if a == b else F.substring(line, cut[b] + shift + 1, cut[b + 1] - cut[b] + longer - shift)
+                    found.append(F.struct(
+                        F.xxhash64(other, F.lit(a), F.lit(b), head, middle, tail).alias("key"),
+                        F.xxhash64(first).alias("first"), (F.lit(None).cast("long") if a == b else F.xxhash64(last)).alias("last"),
+                        F.lit(longer == 0 and shift == 0).alias("index")))
+    return F.array(*found)
 
 
 def _wanted(hashes: DataFrame) -> DataFrame:
@@ -249,15 +242,20 @@ def roots_of_near(lines: DataFrame, hot: DataFrame) -> DataFrame:
         "key", "h", "index", F.coalesce("root", "h").alias("root")), "lines-rooted")
     apart = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where(
         "low != high").select("key", (F.col("n") > CROWD).alias("crowded"))
-    open_ = rooted.join(apart, "key")
-    signed = rare_grams(texts.join(open_.where("crowded").select("h").distinct(), "h", "left_semi"))
-    grams = F.when(F.col("crowded"), F.col("grams")).otherwise(F.array(F.lit(0).cast("long")))
-    placed = materialise(
-        open_.join(signed, open_["h"] == signed["of"], "left")
-        .select("key", "h", "index", "root", "parity", F.explode(grams).alias("gram")), "lines-placed")
-    pairs = placed.alias("p").join(placed.where("index").alias("i"), F.expr(
-        f"p.key = i.key AND p.gram = i.gram AND p.root != i.root AND coalesce(bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}, true)"))
-    rest = verified(_ordered(pairs, F.col("p.h"), F.col("i.h")), "lines-rest")
+    open_ = materialise(rooted.join(apart, "key"), "lines-open")
+    crowd = open_.where("crowded").select(F.col("h").alias("of"), "root").distinct()
+    pieces = materialise(
+        texts.join(crowd, texts["h"] == crowd["of"]).select(
+            "h", "root", parity(F.col("line")).alias("parity"), F.explode(piece_entries(F.col("line"), F.length("line"))).alias("e"))
+        .select("e.key", "e.first", "e.last", "h", "e.index", "root", "parity"), "lines-pieces")
+
+    def met(entries_: DataFrame, more: str) -> DataFrame:
+        pairs = entries_.alias("p").join(entries_.where("index").alias("i"), F.expr(f"p.key = i.key AND p.root != i.root {more}"))
+        return pairs.select(F.col("p.h").alias("one"), F.col("i.h").alias("other"))
+
+    near = "AND p.first != i.first AND coalesce(p.last != i.last, true) " + f"AND bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}"
+    pairs = met(open_.where("NOT crowded"), "").union(met(pieces, near))
+    rest = verified(_ordered(pairs, F.col("one"), F.col("other")), "lines-rest")
     return components(near_heads.union(rest), "a", "b")
 
 
