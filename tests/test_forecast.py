@@ -238,6 +238,22 @@ def test_boosted_takes_one_task_stage_whatever_the_folds(spark, matrix):
     assert jobs(1) == jobs(10)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_lasso_conditions_hold_at_every_knot(seed):
+    """Few rows and strongly related columns, so that columns leave and come back with the other sign."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((26, 3)) @ rng.standard_normal((3, 20)) + 0.25 * rng.standard_normal((26, 20))
+    x = (x - x.mean(axis=0)) / x.std(axis=0)
+    y = rng.standard_normal(26)
+    gram, corr = x.T @ x, x.T @ (y - y.mean())
+    knots = lasso_knots(gram, corr)
+    for beta in knots:
+        left = corr - gram @ beta
+        level = np.abs(left[beta != 0]).max() if beta.any() else np.abs(left).max()
+        assert np.abs(left).max() <= level + 1e-7
+        assert np.allclose(left[beta != 0], np.sign(beta[beta != 0]) * level, atol=1e-7)
+
+
 def test_guards(spark, matrix):
     with pytest.raises(folds.RegimeError):
         forecast.walk_forward(matrix.withColumn(S.REGIME, F.when(F.col(S.HOUR) == 0, "a").otherwise("b")), MODEL)

@@ -114,3 +114,35 @@ def test_backtest_reads_one_model_folder(spark, sf_dir, tmp_path):
     assert stored.schema.names == S.FORECASTS.names
     one = C.B.settlement_join(stored.where(F.col(S.MODEL) == S.NAIVE_WEEK), V.history_prices(spark, sf_dir))
     assert "PartitionFilters: [isnotnull(model" in plan(one)
+
+
+def test_vintage_pick_stays_in_hash_tables(spark, sf_dir):
+    text = plan(C._weather(spark, sf_dir))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text and text.count("partial_max_by") >= 2
+
+
+@pytest.mark.parametrize("days", [10, 200])
+def test_last_day_opens_a_bounded_number_of_files(spark, tmp_path, days):
+    """However long the history, the last day lies in one or two of its files."""
+    rows = spark.range(days * 24 * 5).selectExpr(
+        "timestamp_ntz'2024-01-01 06:00:00' + make_dt_interval(0, cast(id / 5 as int)) AS interval_start_utc",
+        "concat('p', id % 5) AS settlement_point", "cast(id AS double) AS price_usd_per_mwh", "'x' AS regime")
+    tables.write_clustered(rows, str(tmp_path), "da_prices", (S.INTERVAL, S.POINT), files=20)
+    out = serving.stored_last_days(spark, str(tmp_path), "da_prices", "America/Chicago")
+    last = 6 + (days * 24 - 1)  # the last hour, counted from the first midnight UTC
+    assert len(out.inputFiles()) <= 3 and out.count() == 5 * ((last - 6) % 24 + 1)
+    manifest = tables.read_manifest(spark, str(tmp_path), "da_prices")
+    assert manifest.count() == 20 and manifest.agg(F.sum("n_rows")).first()[0] == rows.count()
+    assert tables.read_table(spark, str(tmp_path), "da_prices").count() == rows.count()
+    tables.write_table(rows.limit(7), str(tmp_path), "da_prices")  # a plain table has no manifest
+    assert tables.read_manifest(spark, str(tmp_path), "da_prices") is None
+    assert tables.read_span(spark, str(tmp_path), "da_prices", S.INTERVAL).count() == 7
+
+
+def test_span_without_rows(spark, tmp_path):
+    from datetime import datetime
+
+    rows = spark.sql("SELECT timestamp_ntz'2024-01-01 06:00:00' AS interval_start_utc, 'p' AS settlement_point, 1D AS price_usd_per_mwh, 'x' AS regime")
+    tables.write_clustered(rows, str(tmp_path), "da_prices", (S.INTERVAL, S.POINT))
+    assert tables.read_span(spark, str(tmp_path), "da_prices", S.INTERVAL, low=datetime(2025, 1, 1)).count() == 0
+    assert tables.read_span(spark, str(tmp_path), "da_prices", S.INTERVAL, high=datetime(2025, 1, 1)).count() == 1

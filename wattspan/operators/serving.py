@@ -6,12 +6,13 @@ column statistics, where a window over a point would sort the point's whole hist
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.time import delivery_midnight_utc, floor_minutes, local_time
+from ..sources.tables import read_span
 
 
 def _of_point(df: DataFrame, point: str) -> DataFrame:
@@ -28,6 +29,18 @@ def latest_prices(prices: DataFrame, point: str, market: str, zone: str) -> Data
     ).orderBy(S.INTERVAL)
 
 
+def stored_last_days(
+    spark: SparkSession, root: str, name: str, zone: str, days: int = 0
+) -> DataFrame:
+    """Rows of a clustered price table from the local midnight `days` before its last day on.
+
+    The manifest names the files, so the read opens those of the last days only, however long the history.
+    A point that ended earlier is not among them: `latest_prices` over the whole table finds its last day.
+    """
+    opening = delivery_midnight_utc(F.col("last"), zone) - F.make_dt_interval(F.lit(days))
+    return read_span(spark, root, name, S.INTERVAL, low=opening)
+
+
 def latest_forecast(forecasts: DataFrame, point: str, model: str) -> DataFrame:
     """Predicted and realised prices of the model's last delivery day, by hour."""
     rows = _of_point(forecasts, point).where(F.col(S.MODEL) == model)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -455,6 +455,28 @@ def latest_prices(spark: SparkSession, sf: str) -> DataFrame:
     return serving.latest_prices(_hub(spark, sf), "ALL", "da", HUB_CONFIG.market.timezone)
 
 
+def _clustered_hub(spark: SparkSession, sf: str) -> str:
+    root = scratch_path(spark, "served")
+    tables.write_clustered(_hub(spark, sf), root, "da_prices", (S.INTERVAL, S.POINT))
+    return root
+
+
+def latest_prices_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The last local day of every point that has it, from the last files of a clustered table."""
+    zone = HUB_CONFIG.market.timezone
+    return serving.stored_last_days(spark, _clustered_hub(spark, sf), "da_prices", zone)
+
+
+def table_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether a clustered table's manifest covers all rows, and its files follow each other in time."""
+    manifest = tables.read_manifest(spark, _clustered_hub(spark, sf), "da_prices")
+    order = Window.orderBy(f"{S.INTERVAL}_least", f"{S.INTERVAL}_most")  # one row per file
+    placed = manifest.withColumn("before", F.lag(f"{S.INTERVAL}_most").over(order))
+    return placed.agg(
+        F.sum("n_rows").alias("n_rows"), F.min(f"{S.INTERVAL}_least").alias("first"), F.max(f"{S.INTERVAL}_most").alias("last"),
+        F.count_if(F.col("before") > F.col(f"{S.INTERVAL}_least")).alias("n_overlapping"))
+
+
 def latest_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return serving.latest_forecast(_baseline_forecasts(spark, sf), "ALL", S.SEASONAL_DOW)
 
@@ -610,6 +632,8 @@ CATALOGUE: dict[str, Query] = {
     "dispatch_summary": _summary(serving.dispatch_summary, "ALL"),
     "backtest_headline": backtest_headline,
     "latest_prices": latest_prices,
+    "latest_prices_stored": latest_prices_stored,
+    "table_files": table_files,
     "latest_forecast": latest_forecast,
     "price_payload": price_payload,
     "forecast_payload": forecast_payload,

@@ -747,6 +747,11 @@ SELECT point AS settlement_point, 'da' AS market, {_d('CAST(ts - INTERVAL 6 HOUR
        {_t('ts')} AS interval_start_utc, {_r('price')} AS price_usd_per_mwh, regime
 FROM hub WHERE point = 'ALL'
   AND CAST(ts - INTERVAL 6 HOUR AS DATE) = (SELECT max(CAST(ts - INTERVAL 6 HOUR AS DATE)) FROM hub WHERE point = 'ALL')""")
+    out["latest_prices_stored"] = _q(f"""
+SELECT {_PRICE_ROW} FROM hub
+WHERE ts >= (SELECT date_trunc('day', max(ts) - INTERVAL 6 HOUR) + INTERVAL 6 HOUR FROM hub)""")
+    out["table_files"] = _q(f"""
+SELECT count(*) AS n_rows, {_t('min(ts)')} AS first, {_t('max(ts)')} AS last, 0 AS n_overlapping FROM hub""")
     out["latest_forecast"] = _q(f"""
 SELECT point AS settlement_point, model, {_d('d')} AS delivery_date, {_n('h')} AS hour_of_day,
        {_t('ts')} AS interval_start_utc, {_r('predicted')} AS predicted_usd_per_mwh,
