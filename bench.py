@@ -19,7 +19,7 @@ from wattspan.sources.marketviews import table  # noqa: E402
 HEADLINE = [
     "clean_da_prices", "clean_rt_prices", "clean_weather", "quality_report", "price_lags",
     "model_matrix", "model_matrix_history", "walk_forward_folds", "forecast_naive_week",
-    "forecast_seasonal_dow", "forecast_lear", "forecast_metrics", "dispatch_ceiling",
+    "forecast_seasonal_dow", "forecast_lear", "forecast_gbt", "forecast_metrics", "dispatch_ceiling",
     "dispatch_capped", "daily_backtest", "sensitivity_sweep", "profit_concentration",
     "price_history_recent", "end_to_end_run",
 ]
