@@ -194,7 +194,9 @@ def piece_entries(line: Column, length: Column) -> Column:
             head = F.substring(line, F.lit(1), cut[a])
             for b in range(a, PIECES):
                 tail = F.substring(line, cut[b + 1] + longer + 1, other - cut[b + 1])
-                for shift in [0] if a == b else [s for s in (-1, 0, 1) if abs(longer - s) <= 1]:
+                allowed = [0] if a == b else [s for s in (-1, 0, 1) if abs(longer - s) <= 1]
+                # Nothing lies between neighbours, so every shift gives them the same key.
+                for shift in [min(allowed, key=abs)] if b == a + 1 else allowed:
                     middle = F.lit("") if a == b else F.substring(line, cut[a + 1] + shift + 1, cut[b] - cut[a + 1])
                     first = F.substring(line, cut[a] + 1, cut[a + 1] - cut[a] + (longer if a == b else shift))
                     last = F.lit("") if a == b else F.substring(line, cut[b] + shift + 1, cut[b + 1] - cut[b] + longer - shift)
@@ -253,7 +255,8 @@ def roots_of_near(lines: DataFrame, hot: DataFrame) -> DataFrame:
         pairs = entries_.alias("p").join(entries_.where("index").alias("i"), F.expr(f"p.key = i.key AND p.root != i.root {more}"))
         return pairs.select(F.col("p.h").alias("one"), F.col("i.h").alias("other"))
 
-    near = "AND p.first != i.first AND coalesce(p.last != i.last, true) " + f"AND bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}"
+    # Two indexed lines of one length would meet once from either side.
+    near = "AND (NOT p.index OR p.h < i.h) AND p.first != i.first AND coalesce(p.last != i.last, true) " + f"AND bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}"
     pairs = met(open_.where("NOT crowded"), "").union(met(pieces, near))
     rest = verified(_ordered(pairs, F.col("one"), F.col("other")), "lines-rest")
     return components(near_heads.union(rest), "a", "b")
