@@ -162,6 +162,22 @@ def test_line_dedup_equals_brute_force(spark, monkeypatch, crowd):
     assert lines.strip(frame).columns == frame.columns
 
 
+def test_lines_of_one_template_part_by_finer_pieces(spark):
+    """Lines with one first half, and the same characters in the second, don't all meet; near ones do."""
+    random.seed(8)
+    words = [f"{a}{b}" for a in "bcdfg" for b in ("ra", "lo", "mi")]
+    known = []
+    for _ in range(250):
+        random.shuffle(words)
+        known.append("the template says as always that " + " ".join(words))
+    known += [x[:-1] + "#" for x in known[:40]] + [x[:40] + "_" + x[40:] for x in known[40:80]]
+    frame = spark.createDataFrame([(i + 1, i + 1, x) for i, x in enumerate(known)], "h long, root long, line string")
+    pairs = lines.met_by_pieces(frame.select("h", "root"), frame.select("h", "line"))
+    got = {(min(r), max(r)) for r in pairs.collect()}
+    assert {(i + 1, i + 251) for i in range(80)} <= got
+    assert pairs.count() < 2 * lines.CROWD * len(known) < len(known) ** 2 / 8
+
+
 def test_line_dedup_edges(awkward):
     assert lines.query(awkward).count() == awkward.count()
     assert lines.query(awkward.limit(0)).count() == 0

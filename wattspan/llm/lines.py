@@ -13,7 +13,9 @@ about one comparison per line and key; only lines that share a key without being
 of crowded keys ask for a second agreement: of `PIECES` pieces of a line two edits touch one or two, so all
 others stand unchanged in a linked line, before the first touched piece at their place, between the two
 shifted by at most one, behind the last shifted by the lengths' difference. The lines meet by the hash of
-all the untouched pieces together, and by the parities of their characters before texts are compared.
+all the untouched pieces together, and by the parities of their characters before texts are compared. Keys
+that are still crowded cut the touched pieces again, round by round, down to single characters: lines that
+differ elsewhere part, so that no round compares more than `CROWD` lines a key with one another.
 
 Spark SQL functions only. Only hashes are shuffled, until texts meet their decisions by doc_id. A line
 that fills more than 1 / `HOT_SHARE` of all line occurrences enters the join once, through a broadcast
@@ -28,6 +30,8 @@ of their hash.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -179,32 +183,91 @@ def parity(line: Column) -> Column:
     return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), flip)
 
 
-def piece_entries(line: Column, length: Column) -> Column:
-    """Keys of a line's untouched pieces, for every choice of one or two touched ones, with index flags.
+def _choices(pieces: int) -> Column:
+    """(a, b, shift) at `pieces` pieces that refine a choice (a, b, shift) made at `pieces` / `PIECES`.
 
-    `first` and `last` tell the touched pieces: where one of them is equal in both lines, the lines also
-    meet under the choice without it, and need not meet here.
-    Pieces are cut for the indexed line's length; a probing line is up to `MAX_EDITS` longer.
+    Piece k is cut into the pieces from k * PIECES on, so that a touched piece holds the touched parts.
     """
-    found = []
-    for longer in range(MAX_EDITS + 1):
-        other = length - longer
-        cut = [F.floor(other * k / PIECES).cast("int") for k in range(PIECES + 1)]
-        for a in range(PIECES):
-            head = F.substring(line, F.lit(1), cut[a])
-            for b in range(a, PIECES):
-                tail = F.substring(line, cut[b + 1] + longer + 1, other - cut[b + 1])
-                allowed = [0] if a == b else [s for s in (-1, 0, 1) if abs(longer - s) <= 1]
-                # Nothing lies between neighbours, so every shift gives them the same key.
-                for shift in [min(allowed, key=abs)] if b == a + 1 else allowed:
-                    middle = F.lit("") if a == b else F.substring(line, cut[a + 1] + shift + 1, cut[b] - cut[a + 1])
-                    first = F.substring(line, cut[a] + 1, cut[a + 1] - cut[a] + (longer if a == b else shift))
-                    last = F.lit("") if a == b else F.substring(line, cut[b] + shift + 1, cut[b + 1] - cut[b] + longer - shift)
-                    found.append(F.struct(
-                        F.xxhash64(other, F.lit(a), F.lit(b), head, middle, tail).alias("key"),
-                        F.xxhash64(first).alias("first"), (F.lit(None).cast("long") if a == b else F.xxhash64(last)).alias("last"),
-                        F.lit(longer == 0 and shift == 0).alias("index")))
-    return F.array(*found)
+    def parts(k: str) -> Column:
+        return F.sequence(F.col(k) * PIECES, F.col(k) * PIECES + PIECES - 1)
+
+    def shifts(x: Column, y: Column) -> Column:
+        whole = F.array(F.lit(0))
+        # Nothing lies between neighbours, so every shift gives them the same key.
+        beside = F.array((F.col("longer") > 1).cast("int"))
+        free = F.when(F.col("longer") == 0, F.array(F.lit(-1), F.lit(0), F.lit(1))).otherwise(
+            F.when(F.col("longer") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1))))
+        given = F.when(F.col("b") > F.col("a") + 1, F.array("shift")).otherwise(free)
+        return F.when(x == y, whole).when(y == x + 1, beside).otherwise(given)
+
+    every = F.flatten(F.transform(parts("a"), lambda x: F.flatten(F.transform(
+        F.filter(parts("b"), lambda y: y >= x),
+        lambda y: F.transform(shifts(x, y), lambda s: F.struct(x.alias("a"), y.alias("b"), s.alias("shift")))))))
+    return F.filter(every, lambda e: (e["a"] < e["b"]) | (F.col("a") == F.col("b")))
+
+
+def finer(choices: DataFrame, texts: DataFrame, pieces: int) -> DataFrame:
+    """Keys of the untouched pieces for every refined choice of one or two touched ones.
+
+    `first` and `last` are the touched pieces: where one of them is equal in both lines, the lines also
+    meet under the choice without it, and need not meet here. Pieces are cut for the indexed line's
+    length, `size`; a probing line is `longer`, by up to `MAX_EDITS`.
+    """
+    line, longer, size, shift = (F.col(c) for c in ("line", "longer", "size", "shift"))
+
+    def cut(k: Column) -> Column:
+        return F.floor(size * k / pieces).cast("int")
+
+    made = (choices.join(texts, "h").select("h", "root", "parity", "longer", "line", F.explode(_choices(pieces)).alias("e"))
+            .select("h", "root", "parity", "longer", "line", (F.length("line") - longer).alias("size"), "e.*"))
+    a, b, alone = F.col("a"), F.col("b"), F.col("a") == F.col("b")
+    head = F.substring(line, F.lit(1), cut(a))
+    middle = F.when(alone, F.lit("")).otherwise(F.substring(line, cut(a + 1) + shift + 1, cut(b) - cut(a + 1)))
+    tail = F.substring(line, cut(b + 1) + longer + 1, size - cut(b + 1))
+    first = F.substring(line, cut(a) + 1, cut(a + 1) - cut(a) + F.when(alone, longer).otherwise(shift))
+    last = F.substring(line, cut(b) + shift + 1, cut(b + 1) - cut(b) + longer - shift)
+    return made.select(
+        F.xxhash64(size, a, b, head, middle, tail).alias("key"), F.xxhash64(first).alias("first"),
+        F.when(~alone, F.xxhash64(last)).alias("last"), ((longer == 0) & (shift == 0)).alias("index"),
+        "h", "root", "parity", "longer", "a", "b", "shift", (size <= pieces).alias("single"))
+
+
+def met(entries_: DataFrame, more: str) -> DataFrame:
+    """(one, other): entries of a key with its indexed ones, as far as they are not united."""
+    pairs = entries_.alias("p").join(entries_.where("index").alias("i"), F.expr(f"p.key = i.key AND p.root != i.root {more}"))
+    return pairs.select(F.col("p.h").alias("one"), F.col("i.h").alias("other"))
+
+
+def met_by_pieces(crowd: DataFrame, texts: DataFrame) -> DataFrame:
+    """(one, other) of the lines (h, root) that agree on all but one or two pieces.
+
+    Keys that stay crowded cut their touched pieces anew, until few lines agree or the pieces are single
+    characters. Indexed lines that agree on all but two characters are all linked, so there they meet
+    the least one of them only.
+    """
+    # Two indexed lines of one length would meet once from either side.
+    near = ("AND (NOT p.index OR p.h < i.h) AND p.first != i.first AND coalesce(p.last != i.last, true) "
+            f"AND bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}")
+    zero = F.lit(0)
+    choices = (texts.join(crowd, "h").select(
+        "h", "root", parity(F.col("line")).alias("parity"), zero.alias("a"), zero.alias("b"), zero.alias("shift"),
+        F.explode(F.array(*[F.lit(k) for k in range(MAX_EDITS + 1)])).alias("longer")))
+    pieces, found = PIECES, []
+    while True:
+        cut = materialise(finer(choices, texts, pieces), "lines-pieces")
+        keys = cut.groupBy("key").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"),
+            F.min(F.when(F.col("index"), F.col("h"))).alias("least")).where("low != high AND least IS NOT NULL").select(
+            "key", "least", (F.col("n") > CROWD).alias("crowded"))
+        shared = materialise(cut.join(keys, "key"), "lines-alike")
+        found.append(met(shared.where("NOT crowded"), near))
+        bottom = shared.where("crowded AND single")
+        found.append(bottom.where("index").select(F.col("h").alias("one"), F.col("least").alias("other")))
+        found.append(met(bottom, f"AND NOT p.index {near}"))
+        choices = shared.where("crowded AND NOT single").select("h", "root", "parity", "a", "b", "shift", "longer")
+        if choices.isEmpty():
+            return reduce(DataFrame.union, found)
+        pieces *= PIECES
 
 
 def _wanted(hashes: DataFrame) -> DataFrame:
@@ -245,19 +308,8 @@ def roots_of_near(lines: DataFrame, hot: DataFrame) -> DataFrame:
     apart = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where(
         "low != high").select("key", (F.col("n") > CROWD).alias("crowded"))
     open_ = materialise(rooted.join(apart, "key"), "lines-open")
-    crowd = open_.where("crowded").select(F.col("h").alias("of"), "root").distinct()
-    pieces = materialise(
-        texts.join(crowd, texts["h"] == crowd["of"]).select(
-            "h", "root", parity(F.col("line")).alias("parity"), F.explode(piece_entries(F.col("line"), F.length("line"))).alias("e"))
-        .select("e.key", "e.first", "e.last", "h", "e.index", "root", "parity"), "lines-pieces")
-
-    def met(entries_: DataFrame, more: str) -> DataFrame:
-        pairs = entries_.alias("p").join(entries_.where("index").alias("i"), F.expr(f"p.key = i.key AND p.root != i.root {more}"))
-        return pairs.select(F.col("p.h").alias("one"), F.col("i.h").alias("other"))
-
-    # Two indexed lines of one length would meet once from either side.
-    near = "AND (NOT p.index OR p.h < i.h) AND p.first != i.first AND coalesce(p.last != i.last, true) " + f"AND bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}"
-    pairs = met(open_.where("NOT crowded"), "").union(met(pieces, near))
+    crowd = open_.where("crowded").select("h", "root").distinct()
+    pairs = met(open_.where("NOT crowded"), "").union(met_by_pieces(crowd, texts))
     rest = verified(_ordered(pairs, F.col("one"), F.col("other")), "lines-rest")
     return components(near_heads.union(rest), "a", "b")
 
