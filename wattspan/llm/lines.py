@@ -14,8 +14,9 @@ of crowded keys ask for a second agreement: of `PIECES` pieces of a line two edi
 others stand unchanged in a linked line, before the first touched piece at their place, between the two
 shifted by at most one, behind the last shifted by the lengths' difference. The lines meet by the hash of
 all the untouched pieces together, and by the parities of their characters before texts are compared. Keys
-that are still crowded cut the touched pieces again, round by round, down to single characters: lines that
-differ elsewhere part, so that no round compares more than `CROWD` lines a key with one another.
+that are still crowded are parted by the parities of their touched pieces, then cut these again, round by
+round, down to single characters: lines that differ elsewhere part, so that no round compares more than
+`CROWD` lines a key with one another.
 
 Spark SQL functions only. Only hashes are shuffled, until texts meet their decisions by doc_id. A line
 that fills more than 1 / `HOT_SHARE` of all line occurrences enters the join once, through a broadcast
@@ -78,38 +79,37 @@ def _lines(docs: DataFrame) -> DataFrame:
             .where(eligible(F.col("line"))).withColumn("h", line_hash(F.col("line"))))
 
 
-def entries(line: Column, length: Column) -> Column:
-    """Keys of the line's index entries (structs with index true) and of its further probes."""
-    def key(allowed: int, other: Column, segment: int, shift: int) -> Column:
-        begin = F.floor(other * segment / (allowed + 1)).cast("int")
-        size = F.floor(other * (segment + 1) / (allowed + 1)).cast("int") - begin
-        return F.xxhash64(other, F.lit(segment), F.substring(line, begin + shift + 1, size))
+def _probes_of(length: Column) -> Column:
+    """What a line of this length looks up: structs of segments, lengths' difference, segment, shift.
 
-    def group(allowed: int, most: int) -> list[Column]:
-        found = []
-        for shorter in range(most + 1):
-            for segment, shift in probes(allowed, shorter):
-                index = shorter == 0 and shift == 0
-                found.append(F.struct(key(allowed, length - shorter, segment, shift).alias("key"),
-                                      F.lit(index).alias("index")))
-        return found
-
-    least_two, least_one = TWO_EDITS_FROM, MIN_LENGTH
-    two = F.array(*group(2, 2))
+    Literal lists, so that the keys are plain expressions behind the explode, which the JVM compiles.
+    """
+    def listed(found: list[tuple[int, int, int, int]]) -> Column:
+        return F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("parts", "shorter", "segment", "shift"), f)]) for f in found])
+
+    two = [(MAX_EDITS + 1, shorter, s, d) for shorter in range(MAX_EDITS + 1) for s, d in probes(MAX_EDITS, shorter)]
     # Just above a limit, shorter lines stand below it and have fewer segments.
-    cases = F.when(length >= least_two + 2, two)
-    for width in range(least_two + 1, least_one - 1, -1):
-        parts = []
+    cases = F.when(length >= TWO_EDITS_FROM + MAX_EDITS, listed(two))
+    for width in range(TWO_EDITS_FROM + 1, MIN_LENGTH - 1, -1):
+        found = []
         for shorter in range(edits(width) + 1):
-            other = width - shorter
-            allowed = edits(other)
+            allowed = edits(width - shorter)
             if allowed >= max(shorter, 1):
-                parts += [F.struct(key(allowed, F.lit(other), s, d).alias("key"),
-                                   F.lit(shorter == 0 and d == 0).alias("index")) for s, d in probes(allowed, shorter)]
-        cases = cases.when(length == width, F.array(*parts))
+                found += [(allowed + 1, shorter, s, d) for s, d in probes(allowed, shorter)]
+        cases = cases.when(length == width, listed(found))
     return cases
 
 
+def entries(lines: DataFrame) -> DataFrame:
+    """(key, mark): the lines' index entries (lowest bit set) and their further probes, marked by the line's hash."""
+    probe = lines.select("h", "line", F.length("line").alias("n"), F.explode(_probes_of(F.length("line"))).alias("e")).select(
+        "h", "line", (F.col("n") - F.col("e.shorter")).alias("size"), "e.*")
+    begin, end = (F.expr(f"cast((size * {k}) div parts as int)") for k in ("segment", "(segment + 1)"))
+    index = (F.col("shorter") == 0) & (F.col("shift") == 0)
+    return probe.select(F.xxhash64("size", "segment", F.substring("line", begin + F.col("shift") + 1, end - begin)).alias("key"),
+                        F.col("h").bitwiseOR(index.cast("long")).alias("mark"))
+
+
 def first_seen(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(h, n, first_doc) of every line; (hot, rep_doc) of those above the share, at most HOT_SHARE rows."""
     counts = materialise(lines.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")), "lines-first")
@@ -121,8 +121,7 @@ def shared_keys(lines: DataFrame, hot: DataFrame) -> DataFrame:
     """(key, h, index, head): entries whose key two lines share; head: the key's least indexed line."""
     once = (lines.join(F.broadcast(hot), lines["h"] == hot["hot"], "left")
             .where("hot IS NULL OR doc_id = rep_doc"))
-    keyed = (once.select("h", F.explode(entries(F.col("line"), F.length("line"))).alias("e"))
-             .select("e.key", F.col("h").bitwiseOR(F.col("e.index").cast("long")).alias("mark")).repartition("key"))
+    keyed = entries(once).repartition("key")
     group = Window.partitionBy("key")
     line, index = F.col("mark").bitwiseAND(-2), F.col("mark").bitwiseAND(1) == 1
     met = keyed.select("key", "mark", F.min(line).over(group).alias("least"), F.max(line).over(group).alias("most"),
@@ -224,14 +223,57 @@ def finer(choices: DataFrame, texts: DataFrame, pieces: int) -> DataFrame:
     head = F.substring(line, F.lit(1), cut(a))
     middle = F.when(alone, F.lit("")).otherwise(F.substring(line, cut(a + 1) + shift + 1, cut(b) - cut(a + 1)))
     tail = F.substring(line, cut(b + 1) + longer + 1, size - cut(b + 1))
-    first = F.substring(line, cut(a) + 1, cut(a + 1) - cut(a) + F.when(alone, longer).otherwise(shift))
-    last = F.substring(line, cut(b) + shift + 1, cut(b + 1) - cut(b) + longer - shift)
+    first, last = _touched(pieces)
     return made.select(
         F.xxhash64(size, a, b, head, middle, tail).alias("key"), F.xxhash64(first).alias("first"),
         F.when(~alone, F.xxhash64(last)).alias("last"), ((longer == 0) & (shift == 0)).alias("index"),
         "h", "root", "parity", "longer", "a", "b", "shift", (size <= pieces).alias("single"))
 
 
+def _touched(pieces: int) -> tuple[Column, Column]:
+    """The touched pieces of a choice; the second one is empty where both edits are in one piece."""
+    line, longer, size, shift, a, b = (F.col(c) for c in ("line", "longer", "size", "shift", "a", "b"))
+
+    def cut(k: Column) -> Column:
+        return F.floor(size * k / pieces).cast("int")
+
+    first = F.substring(line, cut(a) + 1, cut(a + 1) - cut(a) + F.when(a == b, longer).otherwise(shift))
+    last = F.when(a == b, F.lit("")).otherwise(F.substring(line, cut(b) + shift + 1, cut(b + 1) - cut(b) + longer - shift))
+    return first, last
+
+
+def _blocks(count: int) -> list[int]:
+    """Masks of the parity bits by their number modulo `count`, as signed longs."""
+    masks = [sum(1 << bit for bit in range(block, 64, count)) for block in range(count)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
+def by_parity(entries_: DataFrame, texts: DataFrame, pieces: int) -> DataFrame:
+    """The entries under keys that also hold a block of each touched piece's parities.
+
+    An edit changes at most two parities. Two touched pieces hold one edit each, so that one of three
+    blocks of either is equal in linked lines; one touched piece holds two edits, so that one of five is.
+    """
+    alone = F.col("a") == F.col("b")
+    first, last = _touched(pieces)
+    fields = ["key", "first", "last", "index", "h", "root", "parity", "longer", "a", "b", "shift", "single"]
+    read = (entries_.select(*fields).join(texts, "h").withColumn("size", F.length("line") - F.col("longer"))
+            .select(*fields, parity(first).alias("p"), parity(last).alias("q")))
+
+    def pairs(one: int, other: int) -> Column:
+        return F.array(*[F.struct(F.lit(j).alias("j"), F.lit(m).cast("long").alias("m"), F.lit(k).alias("k"), F.lit(n).cast("long").alias("n"))
+                         for j, m in enumerate(_blocks(one)) for k, n in enumerate(_blocks(other) if other else [0])])
+
+    spread = read.withColumn("e", F.explode(F.when(alone, pairs(2 * MAX_EDITS + 1, 0)).otherwise(pairs(3, 3))))
+    key = F.xxhash64("key", "e.j", F.col("p").bitwiseAND(F.col("e.m")), "e.k", F.col("q").bitwiseAND(F.col("e.n")))
+    return spread.select(key.alias("key"), *fields[1:], "p", "q", "e.j", "e.k")
+
+
+def _least_block(count: int, bits: str) -> str:
+    """SQL: the first block in which two entries' parities are equal."""
+    return "CASE " + " ".join(f"WHEN ((p.{bits} ^ i.{bits}) & {m}) = 0 THEN {j}" for j, m in enumerate(_blocks(count))) + " END"
+
+
 def met(entries_: DataFrame, more: str) -> DataFrame:
     """(one, other): entries of a key with its indexed ones, as far as they are not united."""
     pairs = entries_.alias("p").join(entries_.where("index").alias("i"), F.expr(f"p.key = i.key AND p.root != i.root {more}"))
@@ -241,30 +283,41 @@ def met(entries_: DataFrame, more: str) -> DataFrame:
 def met_by_pieces(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     """(one, other) of the lines (h, root) that agree on all but one or two pieces.
 
-    Keys that stay crowded cut their touched pieces anew, until few lines agree or the pieces are single
-    characters. Indexed lines that agree on all but two characters are all linked, so there they meet
+    Crowded keys are parted by the parities of the touched pieces; where that leaves a crowd, the touched
+    pieces are cut anew, until few lines agree or the pieces are single characters. Indexed lines that agree on all but two characters are all linked, so there they meet
     the least one of them only.
     """
     # Two indexed lines of one length would meet once from either side.
     near = ("AND (NOT p.index OR p.h < i.h) AND p.first != i.first AND coalesce(p.last != i.last, true) "
             f"AND bit_count(p.parity ^ i.parity) <= {2 * MAX_EDITS}")
+    # Entries that agree in several blocks meet in the first of them.
+    alike = near + (f" AND CASE WHEN p.a = p.b THEN bit_count(p.p ^ i.p) <= 4 AND p.j = {_least_block(2 * MAX_EDITS + 1, 'p')} "
+                    f"ELSE bit_count(p.p ^ i.p) <= 2 AND bit_count(p.q ^ i.q) <= 2 "
+                    f"AND p.j = {_least_block(3, 'p')} AND p.k = {_least_block(3, 'q')} END")
     zero = F.lit(0)
     choices = (texts.join(crowd, "h").select(
         "h", "root", parity(F.col("line")).alias("parity"), zero.alias("a"), zero.alias("b"), zero.alias("shift"),
         F.explode(F.array(*[F.lit(k) for k in range(MAX_EDITS + 1)])).alias("longer")))
     pieces, found = PIECES, []
-    while True:
-        cut = materialise(finer(choices, texts, pieces), "lines-pieces")
+
+    def shared(entries_: DataFrame) -> DataFrame:
+        """The entries of keys that may link lines which are not united, with the least indexed line."""
+        cut = materialise(entries_, "lines-pieces")
         keys = cut.groupBy("key").agg(
             F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"),
             F.min(F.when(F.col("index"), F.col("h"))).alias("least")).where("low != high AND least IS NOT NULL").select(
             "key", "least", (F.col("n") > CROWD).alias("crowded"))
-        shared = materialise(cut.join(keys, "key"), "lines-alike")
-        found.append(met(shared.where("NOT crowded"), near))
-        bottom = shared.where("crowded AND single")
+        return materialise(cut.join(keys, "key"), "lines-alike")
+
+    while True:
+        agree = shared(finer(choices, texts, pieces))
+        found.append(met(agree.where("NOT crowded"), near))
+        agree = shared(by_parity(agree.where("crowded"), texts, pieces))
+        found.append(met(agree.where("NOT crowded"), alike))
+        bottom = agree.where("crowded AND single")
         found.append(bottom.where("index").select(F.col("h").alias("one"), F.col("least").alias("other")))
-        found.append(met(bottom, f"AND NOT p.index {near}"))
-        choices = shared.where("crowded AND NOT single").select("h", "root", "parity", "a", "b", "shift", "longer")
+        found.append(met(bottom, f"AND NOT p.index {alike}"))
+        choices = agree.where("crowded AND NOT single").select("h", "root", "parity", "a", "b", "shift", "longer").distinct()
         if choices.isEmpty():
             return reduce(DataFrame.union, found)
         pieces *= PIECES
