@@ -46,6 +46,44 @@ def test_clause_paths():
     assert clause("Nice day.\nMoron.\nBye")[1:] == (1, "moron.")
 
 
+def slow_paths(tags):
+    """The grammar's rules word by word, from the positions of all tags."""
+    insult, threat, target, negation, report = (1 << k for k in range(5))
+    found = [0.0] * 5
+    for i, tag in enumerate(tags):
+        negated = any(t & negation for t in tags[max(0, i - toxicity.NEGATION_SCOPE):i + 1])
+        reported = any(t & report for t in tags[:i + 1])
+        near = any(t & target for t in tags[max(0, i - toxicity.TARGET_SCOPE):i + toxicity.TARGET_SCOPE + 1])
+        if tag & insult:
+            found[3 if reported else 2 if negated else 1 if near else 0] += (tag >> 8) / 1000
+        if tag & threat and not negated and any(t & target for t in tags[i + 1:i + toxicity.TARGET_SCOPE + 1]):
+            found[3 if reported else 4] += 1.0
+    return found
+
+
+def test_composed_machine_equals_its_rules():
+    rng = np.random.default_rng(4)
+    for share in (0.15, 0.5):
+        for _ in range(3000):
+            tags = [int(sum((rng.random() < share) << k for k in range(6))) for _ in range(rng.integers(0, 14))]
+            tags = [t | int(rng.integers(1, 1001)) << 8 if t & 1 else t for t in tags]
+            assert toxicity.clause_paths(tags) == pytest.approx(slow_paths(tags))
+
+
+def test_composition_runs_both_transducers_in_turn():
+    rng = np.random.default_rng(5)
+    tags = tuple(range(512))
+    one, other = toxicity.scope(tags, 8, 64, 3), toxicity.scope(tags, 64, 256, 2, itself=False)
+    both = toxicity.compose(one, other)
+    for _ in range(300):
+        s = r = q = 0
+        for t in rng.integers(0, 64, 12).tolist():
+            s, middle, _ = one.arcs[s, t]
+            r, want, _ = other.arcs[r, middle]
+            q, got, _ = both.arcs[q, t]
+            assert got == want
+
+
 def test_toxicity_edges(awkward, labels):
     rows = toxicity.query(awkward, labels).collect()
     assert len(rows) == awkward.count() and all(r.predicted == 0 for r in rows)

@@ -1,10 +1,12 @@
 """Toxicity: a weighted finite-state grammar over clauses.
 
-Five lexical transducers tag words: insult, threat, target, negation and reported speech. Their
-composition reads a clause from left to right; its states are an open negation scope, reported speech,
-and a near target. Each insult leaves the clause on one path (plain, aimed at a target, negated,
-reported) with the insult's weight; a threat counts only when a target follows it. A document's score
-is the logistic value of its summed path weights and of its strongest clause.
+Lexical arcs map words to tags (insult, threat, target, negation, reported speech) with a weight. Five
+transducers, kept as tables of states and arcs, read the tags: negation and reported speech open scopes,
+targets mark the words near them (one copy reads from the left, one from the right), insult and threat
+arcs leave the clause on a path. `compose` joins those that read from the left into one machine, which is
+built once and run over each clause. Each insult leaves on one path (plain, aimed at a target, negated,
+reported) with the insult's weight; a threat counts only when a target follows it. A document's score is
+the logistic value of its summed path weights and of its strongest clause.
 
 Insult arcs (whole words and word stems) and path weights are learned from at most `LABELLED_ROWS`
 labelled documents, taken by hash order of doc_id, of which exact copies count once; that bound is the
@@ -43,7 +45,6 @@ REPORTS = ("said says say called calls wrote claimed quoted according sagte sagt
            "disait appelle écrit dijo dice llamó escribió").split()
 
 LABELLED_ROWS = 20_000
-LEXICON_ROWS = 2_000
 STEM_LENGTHS = (4, 5, 6)
 MIN_EVIDENCE = 20.0
 MIN_LOG_ODDS = 2.0
@@ -52,6 +53,9 @@ NEGATION_SCOPE = 3
 TARGET_SCOPE = 4
 
 _INSULT, _THREAT, _TARGET, _NEGATION, _REPORT, _END = 1, 2, 4, 8, 16, 32
+_LEXICAL = _INSULT | _THREAT | _TARGET | _NEGATION | _REPORT
+#: Tags that the transducers add: they stand beside the lexical ones, in place of the clause's end and above.
+_AHEAD, _NEGATED, _REPORTED, _BEHIND = 32, 64, 128, 256
 _PATHS = ("plain", "aimed", "negated", "reported", "threat", "strongest")
 #: Where learning starts from and is drawn to: the constant, then one weight per path.
 _PRIOR = np.array([-3.0, 2.0, 2.5, 1.0, 1.0, 2.0, 2.0])
@@ -101,23 +105,81 @@ class Tagger(dict):
         return tag
 
 
+@dataclass(frozen=True)
+class Transducer:
+    """A complete deterministic transducer from tag sets to tag sets; state 0 is the start.
+
+    `arcs[state, tags]` is (next state, tags put out, paths on which the word leaves the clause).
+    """
+
+    tags: tuple[int, ...]
+    arcs: dict[tuple[int, int], tuple[int, int, tuple[int, ...]]]
+
+
+def scope(tags: tuple[int, ...], opener: int, adds: int, words: int, itself: bool = True) -> Transducer:
+    """Adds a tag to the `words` words behind each opener, and to the opener; a scope of 0 lasts to the end."""
+    arcs, last = {}, words or 1
+    for state in range(last + 1):
+        for t in tags:
+            after = last if t & opener else state if not words else max(state - 1, 0)
+            inside = state > 0 or bool(itself and t & opener)
+            arcs[state, t] = (after, t | adds if inside else t, ())
+    return Transducer(tags, arcs)
+
+
+def leaving(tags: tuple[int, ...]) -> Transducer:
+    """Insult and threat arcs: the paths of a word whose tags hold its scopes."""
+    arcs = {}
+    for t in tags:
+        paths = ()
+        if t & _INSULT:
+            paths += (3 if t & _REPORTED else 2 if t & _NEGATED else 1 if t & (_TARGET | _BEHIND | _AHEAD) else 0,)
+        if t & _THREAT and t & _AHEAD and not t & _NEGATED:
+            paths += (3 if t & _REPORTED else 4,)
+        arcs[0, t] = (0, t, paths)
+    return Transducer(tags, arcs)
+
+
+def compose(one: Transducer, other: Transducer) -> Transducer:
+    """The machine whose output is `other`'s on `one`'s output, over the pairs of states that can be reached."""
+    number, arcs, todo = {(0, 0): 0}, {}, [(0, 0)]
+    while todo:
+        pair = todo.pop()
+        for t in one.tags:
+            left, middle, first = one.arcs[pair[0], t]
+            right, out, second = other.arcs[pair[1], middle]
+            if (left, right) not in number:
+                number[left, right] = len(number)
+                todo.append((left, right))
+            arcs[number[pair], t] = (number[left, right], out, first + second)
+    return Transducer(one.tags, arcs)
+
+
+def _grammar() -> tuple[Transducer, Transducer]:
+    """(from the right: targets ahead; from the left: negation, reported speech, targets behind, then the paths)."""
+    plain = tuple(range(_LEXICAL + 1))
+    every = tuple(range(2 * _BEHIND))
+    ahead = scope(plain, _TARGET, _AHEAD, TARGET_SCOPE, itself=False)
+    negation = scope(every, _NEGATION, _NEGATED, NEGATION_SCOPE)
+    reported = scope(every, _REPORT, _REPORTED, 0)
+    behind = scope(every, _TARGET, _BEHIND, TARGET_SCOPE, itself=False)
+    return ahead, compose(compose(compose(negation, reported), behind), leaving(every))
+
+
+AHEAD, CLAUSE = _grammar()
+
+
 def clause_paths(tags: list[int]) -> list[float]:
     """Path weights (plain, aimed, negated, reported, threat) of one clause's tags."""
-    found = [0.0] * 5
-    targets = [i for i, t in enumerate(tags) if t & _TARGET]
-    open_negation, reported = -1, False
-    for i, tag in enumerate(tags):
-        if tag & _NEGATION:
-            open_negation = i + NEGATION_SCOPE
-        if tag & _REPORT:
-            reported = True
-        if tag & _INSULT:
-            weight = (tag >> 8) / 1000
-            aimed = any(abs(j - i) <= TARGET_SCOPE for j in targets)
-            path = 3 if reported else 2 if i <= open_negation else 1 if aimed else 0
-            found[path] += weight
-        if tag & _THREAT and i > open_negation and any(0 < j - i <= TARGET_SCOPE for j in targets):
-            found[3 if reported else 4] += 1.0
+    found, seen, state = [0.0] * 5, [], 0
+    for tag in reversed(tags):
+        state, out, _ = AHEAD.arcs[state, tag & _LEXICAL]
+        seen.append(out)
+    state = 0
+    for tag, read in zip(tags, reversed(seen)):
+        state, _, paths = CLAUSE.arcs[state, read]
+        for k, path in enumerate(paths):
+            found[path] += (tag >> 8) / 1000 if k == 0 and tag & _INSULT else 1.0
     return found
 
 
@@ -195,8 +257,7 @@ def mine(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     part = F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (n * (1 - share)))).otherwise(0.0)
     evidence = 2 * (F.col("toxic") * F.log(F.col("toxic") / (n * share)) + part)
     rows = (counted.where("toxic > 1").withColumn("odds", odds).withColumn("evidence", evidence)
-            .where((F.col("odds") >= MIN_LOG_ODDS) & (F.col("evidence") >= MIN_EVIDENCE))
-            .orderBy(F.desc("evidence"), "feature").limit(LEXICON_ROWS).collect())
+            .where((F.col("odds") >= MIN_LOG_ODDS) & (F.col("evidence") >= MIN_EVIDENCE)).collect())
     stems = {r["feature"][:-1]: min(r["odds"], 6.0) / 6.0 for r in rows if r["feature"].endswith("*")}
     words |= {r["feature"]: min(r["odds"], 6.0) / 6.0 for r in rows if not r["feature"].endswith("*")}
     return words, stems
