@@ -301,11 +301,16 @@ def met_by_pieces(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     pieces, found = PIECES, []
 
     def shared(entries_: DataFrame) -> DataFrame:
-        """The entries of keys that may link lines which are not united, with the least indexed line."""
+        """The entries of keys that may link lines which are not united, with the least indexed line.
+
+        Keys in which a touched piece is equal in all lines are left to the choice without that piece.
+        """
         cut = materialise(entries_, "lines-pieces")
         keys = cut.groupBy("key").agg(
             F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"),
-            F.min(F.when(F.col("index"), F.col("h"))).alias("least")).where("low != high AND least IS NOT NULL").select(
+            F.min(F.when(F.col("index"), F.col("h"))).alias("least"),
+            ((F.min("first") != F.max("first")) & F.coalesce(F.min("last") != F.max("last"), F.lit(True))).alias("touched")).where(
+            "touched AND low != high AND least IS NOT NULL").select(
             "key", "least", (F.col("n") > CROWD).alias("crowded"))
         return materialise(cut.join(keys, "key"), "lines-alike")
 
