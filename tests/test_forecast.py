@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattspan import schemas as S
 from wattspan.config import DEFAULT
-from wattspan.operators import folds, forecast
+from wattspan.operators import backtest, folds, forecast
 from wattspan.operators.baselines import naive_week, seasonal_dow
 from wattspan.operators.boosted import BINS, BLOCK_ROWS, LEAST, RATE, boosted, first_splits
 from wattspan.operators.lear import aic_lasso, lasso_knots, lear
@@ -262,3 +262,54 @@ def test_guards(spark, matrix):
         forecast.walk_forward(matrix, DEFAULT.model)
     with pytest.raises(ValueError, match="lag of 7 days"):
         naive_week(matrix, DEFAULT.with_model(price_lag_days=(1, 2)).model)
+
+
+LATE = DEFAULT.with_model(window_days=30, min_train_days=30, recalibrate_every_days=4).model
+
+
+@pytest.fixture(scope="module")
+def late_points(spark):
+    """44 days: A has all of them, B all but the first three, C the last eight."""
+    rows = [tuple(float(v) if isinstance(v, np.floating) else v for v in r)
+            for r in synthetic(days=44, points=("A", "B", "C"), horizon=6)]
+    since = {"A": date(2024, 1, 1), "B": date(2024, 1, 4), "C": date(2024, 2, 6)}
+    return spark.createDataFrame([r for r in rows if r[0] >= since[r[2]]], S.matrix_schema(LATE)).cache()
+
+
+def test_baselines_forecast_every_point_that_has_a_day(late_points):
+    """A point that begins after the first training range is forecast in every fold it has rows in."""
+    naive = naive_week(late_points, LATE).toPandas()
+    assert naive.groupby(S.POINT).size().to_dict() == {"A": 14 * 6, "B": 14 * 6, "C": 8 * 6}
+    lags = late_points.toPandas().set_index([S.POINT, S.INTERVAL])["price_lag_7d"]
+    assert all(lags[r[S.POINT], r[S.INTERVAL]] == r[S.PREDICTED] for _, r in naive.iterrows())
+    seasonal = seasonal_dow(late_points, LATE).toPandas()
+    assert seasonal.groupby(S.POINT).size().to_dict() == {"A": 14 * 6, "B": 14 * 6, "C": 8 * 6}
+    blank = seasonal[seasonal[S.PREDICTED].isna()]
+    # C's first two days lie in a fold that starts before C has any price.
+    assert set(zip(blank[S.POINT], blank[S.DAY])) == {("C", date(2024, 2, 6)), ("C", date(2024, 2, 7))}
+
+
+def test_rows_without_a_prediction_have_no_error(late_points):
+    out = forecast.walk_forward(late_points, LATE, [S.NAIVE_WEEK, S.SEASONAL_DOW])
+    rows = out.where((F.col(S.MODEL) == S.SEASONAL_DOW) & (F.col(S.POINT) == "C")).toPandas()
+    got = {r[S.MODEL]: r for r in forecast.error_grouping_sets(out).where(f"{S.POINT} = 'C' AND {S.HOUR} = -1").collect()}
+    assert {k: v[S.N_OBS] for k, v in got.items()} == {S.NAIVE_WEEK: 48, S.SEASONAL_DOW: 48}
+    assert got[S.SEASONAL_DOW][S.MAE] == pytest.approx((rows[S.PREDICTED] - rows[S.REALISED]).abs().mean())
+    first = forecast.error_grouping_sets(out.where(f"{S.POINT} = 'C' AND {S.PREDICTED} IS NULL")).collect()
+    assert first and all(r[S.MAE] is None and r[S.SMAPE] is None and r[S.N_OBS] > 0 for r in first)
+
+
+def test_days_without_any_prediction_have_no_schedule(late_points):
+    out = seasonal_dow(late_points, LATE)
+    daily = backtest.daily_backtest(out, late_points, DEFAULT.battery, S.SEASONAL_DOW)
+    days = {r[0]: r[1] for r in daily.groupBy(S.POINT).agg(F.countDistinct(S.DAY)).collect()}
+    assert days == {"A": 14, "B": 14, "C": 6}
+    assert backtest.dispatch_schedule(out, DEFAULT.battery, S.SEASONAL_DOW).count() == 34 * 6
+
+
+def test_mature_leaves_every_model_the_same_rows(late_points):
+    out = forecast.walk_forward(late_points, LATE, [S.NAIVE_WEEK, S.SEASONAL_DOW], mature=True)
+    sizes = {(r[0], r[1]): r[2] for r in out.groupBy(S.MODEL, S.POINT).count().collect()}
+    # B's first fold that starts a whole first history after its first day is the second.
+    assert sizes == {(m, p): n for m in (S.NAIVE_WEEK, S.SEASONAL_DOW) for p, n in (("A", 14 * 6), ("B", 10 * 6))}
+    assert boosted(late_points, LATE, rounds=1).count() == 24 * 6

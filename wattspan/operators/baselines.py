@@ -74,7 +74,10 @@ def _trailing_mean(rows: DataFrame, cell: list[str]) -> DataFrame:
 
 
 def seasonal_dow(matrix: DataFrame, model: Model) -> DataFrame:
-    """Mean price of the same weekday and hour in the training window, else the window's mean."""
+    """Mean price of the same weekday and hour in the training window, else the window's mean.
+
+    NULL where the point has no price of its own in the window.
+    """
     rows = with_folds(matrix, model)
     per_row = rows.withColumn("_sum", F.col(S.PRICE)).withColumn(
         "_n", F.col(S.PRICE).isNotNull().cast("long")

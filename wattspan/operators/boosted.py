@@ -28,7 +28,7 @@ from .. import schemas as S
 from ..config import Model
 from ..session import discard, materialise, task_count
 from .baselines import as_forecast
-from .folds import DAY_IDX, first_origin, with_folds
+from .folds import DAY_IDX, first_origin, with_mature_folds
 
 BINS = 64
 RATE = 0.1
@@ -187,7 +187,7 @@ def _grown(block: Block, fold: int, depth: int) -> Trees:
 def _ranged(matrix: DataFrame, model: Model) -> tuple[Plan, DataFrame, DataFrame, list[str]]:
     """The plan, the stored rows, the same per range with their features, and the feature names."""
     names = S.feature_names(model)
-    rows = materialise(with_folds(matrix, model), "boosted-rows")
+    rows = materialise(with_mature_folds(matrix, model), "boosted-rows")
     days = rows.agg(F.max(DAY_IDX)).first()[0]
     plan = Plan.of(model, 0 if days is None else days + 1)
     own = F.floor((F.col(DAY_IDX) - plan.start) / (plan.per * plan.step))

@@ -47,18 +47,20 @@ def fold_of(model: Model) -> Column:
 
 
 def with_folds(matrix: DataFrame, model: Model) -> DataFrame:
-    """Matrix rows with day index, the fold they test and that fold's training range.
-
-    A row whose point is not mature for the fold tests none: it only trains later ones.
-    """
+    """Matrix rows with day index, the fold they test and that fold's training range."""
     start, step = first_origin(model), model.recalibrate_every_days
     origin = F.lit(start) + F.col(S.FOLD) * step
-    laid = (
+    return (
         with_day_index(matrix)
         .withColumn(S.FOLD, fold_of(model))
         .withColumn(ORIGIN, origin.cast("int"))
         .withColumn(TRAIN_FROM, F.greatest(F.lit(0), F.col(ORIGIN) - model.window_days))
     )
+
+
+def with_mature_folds(matrix: DataFrame, model: Model) -> DataFrame:
+    """The same for models that are fitted: a row whose point is not mature for the fold only trains later ones."""
+    laid = with_folds(matrix, model)
     ready = mature_folds(laid, model).withColumn("_ready", F.lit(True))
     return laid.join(ready, [S.POINT, S.FOLD], "left").withColumns({
         name: F.when(F.col("_ready"), F.col(name)) for name in (S.FOLD, ORIGIN, TRAIN_FROM)
@@ -83,6 +85,11 @@ def mature_folds(rows: DataFrame, model: Model) -> DataFrame:
             .where("_reached").select(S.POINT, S.FOLD))
 
 
+def of_mature_points(forecasts: DataFrame, matrix: DataFrame, model: Model) -> DataFrame:
+    """Forecast rows whose point is mature for their fold: the rows that fitted models are tested on, too."""
+    return forecasts.join(mature_folds(with_folds(matrix, model), model), [S.POINT, S.FOLD], "left_semi").select(*forecasts.columns)
+
+
 def walk_forward_folds(matrix: DataFrame, model: Model) -> DataFrame:
     """One row per fold with its training and test day ranges."""
     start, step = first_origin(model), model.recalibrate_every_days

@@ -15,7 +15,7 @@ from ..functions.numeric import ratio_or_null
 from .baselines import naive_week, seasonal_dow
 from .boosted import boosted
 from .features import check_no_leakage
-from .folds import check_history, check_single_regime
+from .folds import check_history, check_single_regime, of_mature_points
 from .lear import lear
 
 Forecaster = Callable[[DataFrame, Model], DataFrame]
@@ -32,15 +32,20 @@ SMAPE_FLOOR = 1e-9
 
 
 def walk_forward(
-    matrix: DataFrame, model: Model, names: Sequence[str] | None = None, checked: bool = True
+    matrix: DataFrame, model: Model, names: Sequence[str] | None = None, checked: bool = True, mature: bool = False
 ) -> DataFrame:
-    """Forecast rows of the chosen models (default all) over every fold."""
+    """Forecast rows of the chosen models (default all) over every fold.
+
+    The baselines forecast every point, the fitted models those that are mature for the fold; `mature`
+    leaves the baselines the same rows, for comparisons with fitted models.
+    """
     check_no_leakage(matrix, model)
     if checked:
         check_single_regime(matrix)
         check_history(matrix, model)
     parts = [MODELS[name](matrix, model) for name in names or MODELS]
-    return reduce(DataFrame.unionByName, parts)
+    out = reduce(DataFrame.unionByName, parts)
+    return of_mature_points(out, matrix, model) if mature else out
 
 
 def _absolute_error():
@@ -67,17 +72,19 @@ def error_by(forecasts: DataFrame, keys: Sequence[str]) -> DataFrame:
 def error_grouping_sets(forecasts: DataFrame) -> DataFrame:
     """Errors per hour and, with hour -1, pooled over all rows of the cell.
 
-    The forecast rows are reduced once to sums per hour; the grouping sets run on those few rows.
+    The forecast rows are reduced once to sums per hour; the grouping sets run on those few rows. Rows
+    without a prediction count as observations, but have no error.
     """
     hourly = forecasts.groupBy(*CELL, S.HOUR).agg(
-        F.count("*").alias("n"), F.sum(_absolute_error()).alias("ae"), F.sum(_smape_term()).alias("sm")
+        F.count("*").alias("n"), F.count(_absolute_error()).alias("known"),
+        F.sum(_absolute_error()).alias("ae"), F.sum(_smape_term()).alias("sm"),
     )
     cells = [F.col(c) for c in CELL]
     both = hourly.groupingSets([[*cells, F.col(S.HOUR)], cells], *cells, F.col(S.HOUR)).agg(
         F.grouping(S.HOUR).alias("_pooled"),
         F.sum("n").alias(S.N_OBS),
-        (F.sum("ae") / F.sum("n")).alias(S.MAE),
-        (F.sum("sm") / F.sum("n")).alias(S.SMAPE),
+        F.try_divide(F.sum("ae"), F.sum("known")).alias(S.MAE),
+        F.try_divide(F.sum("sm"), F.sum("known")).alias(S.SMAPE),
     )
     hour = F.when(F.col("_pooled") == 1, F.lit(S.POOLED_HOUR)).otherwise(F.col(S.HOUR))
     return both.select(*CELL, hour.cast("long").alias(S.HOUR), S.N_OBS, S.MAE, S.SMAPE)

@@ -16,7 +16,7 @@ from .. import schemas as S
 from ..config import Model
 from ..session import task_count
 from .baselines import as_forecast
-from .folds import DAY_IDX, first_origin, with_folds
+from .folds import DAY_IDX, first_origin, with_folds, with_mature_folds
 
 # The lags, in days, of the classic LEAR design.
 LEAR_LAGS = (1, 2, 3, 7)
@@ -161,7 +161,7 @@ def _ranges(matrix: DataFrame, model: Model, folds_per_range: int | None = None)
     start, step = first_origin(model), model.recalibrate_every_days
     per = folds_per_range or max(1, model.window_days // (2 * step))
     span = per * step
-    rows = with_folds(matrix, model)
+    rows = with_mature_folds(matrix, model)
     idx = F.col(DAY_IDX)
     # A day trains the ranges that start at most a window later and is tested in its own.
     own = F.floor((idx - start) / span).cast("int")
