@@ -276,3 +276,15 @@ def test_aligned_shrinks_to_passages_in_another_order():
     assert passages.aligned(one, other, [(75, 75)])
     one, other = (passages.shingles(" ".join(w).encode()) for w in (y + noise + p + x * 3, x + other_noise + p + y * 3))
     assert passages.aligned(one, other, [(95, 95)])
+
+
+def test_aligned_walks_no_place_of_texts_with_too_little_in_common(monkeypatch):
+    """40 shingles in common are too few for a passage of 46 at 0.8, 41 are enough to look."""
+    def pair(shared):
+        part = [f"s{i}" for i in range(shared + 4)]
+        return (passages.shingles(" ".join(part + [f"{x}{i}" for i in range(60)]).encode()) for x in "pq")
+
+    walked = []
+    monkeypatch.setattr(passages, "_stretches", lambda *args: walked.append(args) or iter(()))
+    assert passages.aligned(*pair(40), [(20, 20)]) == [] and not walked
+    assert passages.aligned(*pair(41), [(20, 20)]) == [] and len(walked) == 1
