@@ -288,3 +288,37 @@ def test_aligned_walks_no_place_of_texts_with_too_little_in_common(monkeypatch):
     monkeypatch.setattr(passages, "_stretches", lambda *args: walked.append(args) or iter(()))
     assert passages.aligned(*pair(40), [(20, 20)]) == [] and not walked
     assert passages.aligned(*pair(41), [(20, 20)]) == [] and len(walked) == 1
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_passages_compare_all_classes_of_a_chain(spark, monkeypatch, rounds):
+    """One chain of 40 texts with a common line; two of them, not next to each other, share a passage around it."""
+    line = [f"l{i}" for i in range(8)]
+    docs = []
+    for k in range(40):
+        left, right = ([f"{side}{k}_{i}" for i in range(60)] for side in "xy")
+        docs.append((k, " ".join(left + line + right)))
+    words = [t.split() for _, t in docs]
+    twin = " ".join(words[30][:40] + words[5][40:60] + line + words[5][68:95] + words[30][95:])
+    ids = {k: int(np.uint64(xxhash.xxh64_intdigest(t, seed=42)).astype(np.int64)) for k, t in [*docs, (40, twin)] if k != 30}
+    order = sorted(ids.values())
+    between = order[(place := order.index(ids[5])) + 1: order.index(ids[40])] or order[order.index(ids[40]) + 1: place]
+    assert len(between) > 3
+    docs = [d for d in docs if d[0] != 30] + [(40, twin)]
+    own = passages.texts(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.text_id for r in own.collect()} == ids
+    chain = [(1, text_id, 60, 60, 60) for text_id in ids.values()]
+    monkeypatch.setattr(passages, "chains", lambda own: spark.createDataFrame(
+        chain, "chain long, text_id long, centre int, left int, right int"))
+    monkeypatch.setattr(passages, "ROUNDS", rounds, raising=False)
+    found, _ = passages.passages(own)
+    assert {(r.a, r.b) for r in found.collect()} == {(min(ids[5], ids[40]), max(ids[5], ids[40]))}
+
+
+def test_places_outside_any_stretch_hold_no_passage():
+    """The early refusal of a place agrees with the walk around it."""
+    random.seed(4)
+    for share in (0.8, 0.88, 0.92, 0.97):
+        both = np.array([random.random() < share for _ in range(200)])
+        promising = passages._promising(both)
+        assert [bool(p) for p in promising] == [passages._longest(both, k)[1] >= passages.LEAST for k in range(200)]
