@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from wattspan.llm import lines, passages, simhash
 from wattspan.llm.graph import components
@@ -322,3 +323,85 @@ def test_places_outside_any_stretch_hold_no_passage():
         both = np.array([random.random() < share for _ in range(200)])
         promising = passages._promising(both)
         assert [bool(p) for p in promising] == [passages._longest(both, k)[1] >= passages.LEAST for k in range(200)]
+
+
+def walked(one, other, at):
+    """Every place walked by itself, without any refusal before."""
+    here, there = np.isin(one, other), np.isin(other, one)
+    found = []
+    for p, q in sorted(at):
+        if any(a <= p < a + n and b <= q < b + n for a, b, n, _ in found):
+            continue
+        back, ahead = min(p, q), min(len(one) - p, len(other) - q)
+        for a, b, size in passages._stretches(one, other, here[p - back: p + ahead] & there[q - back: q + ahead], p, q):
+            x, y = set(one[a: a + size].tolist()), set(other[b: b + size].tolist())
+            if size >= passages.LEAST and len(x & y) >= passages.SIMILARITY * len(x | y):
+                found.append((a, b, size, len(x & y) / len(x | y)))
+                break
+    return found
+
+
+def repeating(n_words, kinds):
+    """Words that repeat 5 to 30 times each, as in junk texts."""
+    words = []
+    while len(words) < n_words:
+        words += [f"w{random.randrange(kinds)}"] * random.randint(5, 30)
+    return words
+
+
+def test_refused_places_hold_no_passage():
+    """Places judged together on a diagonal give what walking each of them gives, with repeats and without."""
+    random.seed(7)
+    hits = 0
+    for k in range(60):
+        first, second = repeating(random.randint(60, 160), 4 + k % 5), repeating(random.randint(60, 160), 4 + k % 5)
+        if k % 2:
+            part = [f"s{i}" for i in range(70)]
+            first, second = first + part, part[:30] + ["new"] * (k % 4) + part[30 + k % 3:] + second
+        one, other = (passages.shingles(" ".join(w).encode()) for w in (first, second))
+        at = [(int(p), int(q)) for p, q in zip(*np.nonzero(one[:, None] == other[None, :]))]
+        at = random.sample(at, min(len(at), 300))
+        got = passages.aligned(one, other, at)
+        assert got == walked(one, other, at)
+        hits += bool(got)
+    assert 10 < hits < 60
+
+
+def test_longest_stretches_of_all_places_at_once():
+    random.seed(5)
+    for share in (0.7, 0.85, 0.9, 0.95):
+        both = np.array([random.random() < share for _ in range(200)])
+        start, size = passages._spans(both)
+        for k in range(200):
+            back, longest = passages._longest(both, k)
+            assert size[k] == longest and (not longest or start[k] == k - back)
+
+
+def test_all_classes_are_compared_without_shuffling_places(spark):
+    """Texts of repeated words meet at the square of their places: only the texts' pairs are joined, the places follow."""
+    random.seed(11)
+    texts = [" ".join(repeating(250, 5)) for _ in range(4)]
+    own = passages.texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = [(r.text_id, r.text_id, r.text.encode(), list(range(len(r.text.split()) - 4))) for r in own.collect()]
+    dealt = spark.createDataFrame(rows, "text_id long, root long, text binary, centres array<int>").mapInArrow(
+        passages._around_batches, "chain long, text_id long, root long, centre int, left int, right int").cache()
+    met = passages.across(dealt)
+    assert met.columns == ["a", "b"]
+    pairs = {(r.a, r.b) for r in met.collect()}
+    # The places of a pair are those that its texts' rows share by chain.
+    one, other = (dealt.select("chain", *[F.col(c).alias(f"{c}_{x}") for c in ("text_id", "centre", "left", "right")]) for x in "ab")
+    overlap = F.least("left_a", "left_b") + F.least("right_a", "right_b") + 1
+    want = {}
+    for r in one.join(other, "chain").where("text_id_a < text_id_b").where(overlap >= 36).select(
+            "text_id_a", "text_id_b", "centre_a", "centre_b").distinct().collect():
+        want.setdefault((r[0], r[1]), set()).add((r[2], r[3]))
+    assert want and set(want) <= pairs and max(map(len, want.values())) > 1000
+    centres = {}
+    for r in dealt.select("text_id", "centre").distinct().collect():
+        centres.setdefault(r.text_id, []).append(r.centre)
+    known = {i: passages._Known(passages.shingles(text), np.array(sorted(centres[i]))) for i, _, text, _ in rows}
+    for a, b in pairs:
+        places = {(int(p), int(q)) for p, q in zip(*passages._shared_places(known[a], known[b]))}
+        assert {z for z in places if passages._dealt_together(known[a].hashes, known[b].hashes, *z)} == want.get((a, b), set())
+    got = {(r.a, r.b, r.a_start, r.b_start) for r in passages.verified(met, own, dealt).collect()}
+    assert got == {(a, b, p, q) for (a, b), at in want.items() for p, q, _, _ in walked(known[a].hashes, known[b].hashes, at)}
