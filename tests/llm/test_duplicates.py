@@ -405,3 +405,35 @@ def test_all_classes_are_compared_without_shuffling_places(spark):
         assert {z for z in places if passages._dealt_together(known[a].hashes, known[b].hashes, *z)} == want.get((a, b), set())
     got = {(r.a, r.b, r.a_start, r.b_start) for r in passages.verified(met, own, dealt).collect()}
     assert got == {(a, b, p, q) for (a, b), at in want.items() for p, q, _, _ in walked(known[a].hashes, known[b].hashes, at)}
+
+
+def test_words_of_any_size_are_hashed_at_once():
+    """Every size of word, and every kind of gap, gives the hashes of the words one by one."""
+    random.seed(17)
+    texts = [b"", b" ", b"one two three four", b"A b\x0bC\x0cd\rE\x00 f \x1c g\x85 h", "é😀 Ä ".encode() * 9,
+             b" ".join(bytes([97 + k % 26]) * k for k in range(1, 70)), b" \t\n lead A b c d e f "]
+    texts += [" ".join(f"{random.getrandbits(random.randint(1, 140)):x}" for _ in range(80)).encode() for _ in range(20)]
+    for text, got in zip(texts, passages.shingled(texts), strict=True):
+        hashed = [xxhash.xxh64_intdigest(w) for w in text.lower().split()]
+        sums = [sum(h * seed for h, seed in zip(hashed[k:], passages._SEEDS)) % 2 ** 64 for k in range(len(hashed) - 4)]
+        sums = [(x ^ x >> 32) * passages._SEEDS[0] % 2 ** 64 for x in sums]
+        assert got.tolist() == [x ^ x >> 29 for x in sums] == passages.shingles(text).tolist()
+
+
+def test_windows_of_many_texts_at_once():
+    """The windows of texts that lie side by side are the nodes of each text's own trees."""
+    random.seed(19)
+    texts = [" ".join(repeating(n, kinds)) for n in (50, 51, 120, 700) for kinds in (1, 2, 9, 5000)]
+    texts += [" ".join(random.choices("abcdefgh", k=900)), *(" ".join(f"{n}_{i}" for i in range(n)) for n in (50, 97, 400))]
+    hashes = [passages.shingles(t.encode()) for t in texts]
+    hashes = [h for h in hashes if len(h) >= passages.LEAST]
+    got = sorted(zip(*(c.tolist() for c in passages._windows(hashes, np.arange(len(hashes))))))
+    want = []
+    for k, h in enumerate(hashes):
+        side = passages.mixed(h, passages.HASHES) >> np.uint64(33)
+        for function in range(passages.HASHES):
+            values = passages.mixed(h, function)
+            for left, centre, right in passages.compact_windows(values, passages.LEAST):
+                want.append((int(values[centre].view(np.int64)), k, centre, centre - left, right - centre,
+                             int(side[max(centre - passages._SIDE, 0): centre + 1].min()), int(side[centre: centre + passages._SIDE + 1].min())))
+    assert got == sorted(want)
