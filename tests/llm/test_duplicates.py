@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -437,3 +438,36 @@ def test_windows_of_many_texts_at_once():
                 want.append((int(values[centre].view(np.int64)), k, centre, centre - left, right - centre,
                              int(side[max(centre - passages._SIDE, 0): centre + 1].min()), int(side[centre: centre + passages._SIDE + 1].min())))
     assert got == sorted(want)
+
+
+def test_pairs_without_hope_hold_no_passage():
+    """Pairs judged together: none that has a passage is turned down, and texts just under the length are."""
+    random.seed(23)
+    run, known, pairs = [f"r{i}" for i in range(300)], {}, []
+    for k in range(40):
+        shared = 35 + k
+        at = random.randrange(200)
+        for j in range(2):
+            own = [f"{j}_{k}_{i}" for i in range(random.randint(0, 60))]
+            known[2 * k + j] = passages._Known(passages.shingles(" ".join(own + run[at:at + shared] + own[::-1]).encode()))
+        pairs.append((2 * k, 2 * k + 1))
+    hopeful = passages._hopeful(pairs, known)
+    for (a, b), hope in zip(pairs, hopeful):
+        one, other = known[a].hashes, known[b].hashes
+        at = [(int(p), int(q)) for p, q in zip(*np.nonzero(one[:, None] == other[None, :]))]
+        assert hope or not walked(one, other, at)
+    assert not hopeful[:6].any() and hopeful[15:].all()
+
+
+def test_groups_come_whole_and_pairs_of_classes_once(monkeypatch):
+    """Portions end where a chain ends, however batches cut it; a chain's pairs are those of different classes."""
+    random.seed(29)
+    monkeypatch.setattr(passages, "_ROWS", 5)
+    rows = sorted((chain, text, text % 7) for chain in range(12) for text in random.sample(range(30), random.choice((1, 2, 3, 17))))
+    for size in (1, 4, 1000):
+        cut = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[k:k + size])], names=["chain", "text_id", "root"])
+               for k in range(0, len(rows), size)]
+        portions = [set(columns[0].tolist()) for columns in passages._whole_groups(iter(cut))]
+        assert sum(map(len, portions)) == 12
+        got = {(a, b) for batch in passages._across_batches(iter(cut)) for a, b in zip(*(c.to_pylist() for c in batch.columns))}
+        assert got == {(a, b) for c, a, x in rows for d, b, y in rows if c == d and a < b and x != y}
